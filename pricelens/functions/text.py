@@ -11,16 +11,17 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .expr import ColumnLike, col
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKD", v))
 
