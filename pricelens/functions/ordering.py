@@ -56,6 +56,18 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn")
     )
 
 
+def group_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
+    """1-based position inside every group, for groups of any size.
+
+    Rows are numbered in one total order of (keys, order); the position inside
+    a group is the distance to the group's first number, which is an aggregate.
+    ``order`` must be unique inside a group.
+    """
+    numbered = global_row_number(df, [*[F.col(k) for k in keys], *order], "__n")
+    first = numbered.groupBy(*keys).agg(F.min("__n").alias("__first"))
+    return numbered.join(first, list(keys)).withColumn(name, F.col("__n") - F.col("__first") + 1).drop("__n", "__first")
+
+
 def paginate(df: DataFrame, order: Sequence[Column], size: int = 100) -> DataFrame:
     """Add the 1-based page number of every row in the listing order."""
     numbered = global_row_number(df, order, "__rn")
