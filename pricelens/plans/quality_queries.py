@@ -101,7 +101,7 @@ def offers(spark, d):
 
 @query("check_offers", any_of(
     rule("offer_unknown_slug", "package_id", "v_offers WHERE p_size = 1"), rule("offer_channel", "package_id", "v_offers WHERE p_size = 2"),
-    rule("offer_name", "package_id", "v_offers WHERE p_size = 3"), rule("offer_kind_base", "package_id", "v_offers WHERE p_size = 25"),
+    rule("offer_package_id", "package_id", "v_offers WHERE NOT package_id > 0"), rule("offer_name", "package_id", "v_offers WHERE p_size = 3"), rule("offer_kind_base", "package_id", "v_offers WHERE p_size = 25"),
     rule("offer_add_on_guards", "package_id", "v_offers WHERE p_size = 30"),
     rule("offer_base_app", "package_id", "v_offers WHERE p_size IN (1, 50) OR p_type = 'SMALL'"),
     rule("offer_app_ids_repeat", "package_id", "v_offers WHERE p_size = 5"), rule("offer_reviewed_at", "package_id", "v_offers WHERE p_size = 31"),
