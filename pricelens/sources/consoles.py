@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
-from ..operators.changes import contiguous, track_slug
+from ..operators.changes import track_slug
 from . import landing as L
 from .stores import AVAILABILITY, public_purchase, psn_fragments, psn_title_key
 
@@ -20,8 +20,11 @@ CARD_MARKS = {
 }
 
 
-def _range_text() -> Column:
-    return F.regexp_extract_all(L.without_raw_text("body"), F.lit(r"(?i)\bShowing\s+(\d+\s*[-–]\s*\d+\s+of\s+\d+)\s+items\b"), F.lit(1))
+def _marked(tag: Column) -> Column:
+    out = F.lit(True)
+    for name, value in CARD_MARKS.items():
+        out = out & F.coalesce(L.attribute(tag, name) == value, F.lit(False))
+    return out
 
 
 def xbox_calendar_cards(pages: DataFrame, page_size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
@@ -29,36 +32,33 @@ def xbox_calendar_cards(pages: DataFrame, page_size: int = PAGE_SIZE) -> tuple[D
 
     The landing key is the number of skipped items.  A page's stated range must
     be the asked one, its cards must fill it at positions 0..n-1 and name
-    distinct products; cards get their place over all pages.
+    distinct products; cards get their place over all pages.  A page is judged
+    on its own row, without a shuffle.
     """
-    spans = F.array_distinct(F.transform(_range_text(), lambda t: F.regexp_replace(t, r"\s+|[-–]|of", " ")))
-    nums = F.filter(F.split(F.try_element_at("spans", F.lit(1)), " "), lambda x: x != "")
-    p = pages.select(F.col("key").cast("bigint").alias("skip"), spans.alias("spans"), "body").withColumn("nums", nums)
+    p = pages.select(F.col("key").cast("bigint").alias("skip"), L.without_raw_text("body").alias("html"))
+    spans = F.regexp_extract_all("html", F.lit(r"(?i)\bShowing\s+(\d+\s*[-–]\s*\d+\s+of\s+\d+)\s+items\b"), F.lit(1))
+    p = p.withColumn("spans", F.array_distinct(F.transform(spans, lambda t: F.regexp_replace(t, r"\s+|[-–]|of", " "))))
+    p = p.withColumn("nums", F.filter(F.split(F.try_element_at("spans", F.lit(1)), " "), lambda x: x != ""))
     at = lambda i: F.try_element_at("nums", F.lit(i)).try_cast("bigint")
-    p = p.withColumns({"start": at(1), "end": at(2), "total": at(3)})
-    tags = F.filter(
-        F.regexp_extract_all(L.without_raw_text("body"), F.lit(r"(?is)<div\b[^>]*>"), F.lit(0)),
-        lambda t: t.contains(CARD_MARKS["data-bi-hn"]))
-    marked = F.lit(True)
-    for name, value in CARD_MARKS.items():
-        marked = marked & F.coalesce(L.attribute("tag", name) == value, F.lit(False))
-    cards = p.select("skip", F.explode(tags).alias("tag")).select(
-        "skip", marked.alias("marked"), F.upper(L.attribute("tag", "data-bi-pid")).alias("big_id"), F.trim(L.attribute("tag", "data-bi-prdname")).alias("title"),
-        L.attribute("tag", "data-bi-carpos").try_cast("int").alias("position"))
-    bad_card = ~F.col("marked") | ~X.matches("big_id", X.XBOX_SHAPE) | (F.coalesce("title", F.lit("")) == "") | F.col("position").isNull()
-    want_end = F.least(F.col("skip") + page_size, F.col("total"))
-    size = cards.groupBy("skip").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("big_id").alias("ids"), F.count_if(bad_card).alias("bad"))
-    gaps = contiguous(cards, ["skip"], "position").select("skip", F.lit(True).alias("gap"))
-    j = p.join(size, "skip", "left").join(gaps, "skip", "left")
+    tags = F.filter(F.regexp_extract_all("html", F.lit(r"(?is)<div\b[^>]*>"), F.lit(0)), lambda t: t.contains(CARD_MARKS["data-bi-hn"]))
+    card = lambda t: F.struct(
+        _marked(t).alias("marked"), F.upper(L.attribute(t, "data-bi-pid")).alias("big_id"), F.trim(L.attribute(t, "data-bi-prdname")).alias("title"),
+        L.attribute(t, "data-bi-carpos").try_cast("int").alias("position"))
+    p = p.withColumns({"start": at(1), "end": at(2), "total": at(3), "cards": F.transform(tags, card)})
+    sound = lambda c: c["marked"] & X.matches(c["big_id"], X.XBOX_SHAPE) & (F.coalesce(c["title"], F.lit("")) != "") & c["position"].isNotNull()
+    places = F.array_sort(F.transform("cards", lambda c: c["position"]))
+    ids = F.array_distinct(F.transform("cards", lambda c: c["big_id"]))
+    n = F.size("cards")
     fault = (
         F.when(F.size("spans") == 0, "range_missing").when(F.size("spans") > 1, "contradictory_ranges")
-        .when((F.col("start") != F.col("skip") + 1) | (F.col("end") != want_end), "range_mismatch")
-        .when(F.coalesce("n", F.lit(0)) != F.col("end") - F.col("start") + 1, "card_count").when(F.col("bad") > 0, "card_identity")
-        .when(F.col("gap"), "positions_not_contiguous").when(F.col("ids") != F.col("n"), "repeated_product")
+        .when((F.col("start") != F.col("skip") + 1) | (F.col("end") != F.least(F.col("skip") + page_size, F.col("total"))), "range_mismatch")
+        .when(n != F.col("end") - F.col("start") + 1, "card_count").when(~F.forall("cards", sound), "card_identity")
+        .when(places != F.sequence(F.lit(0), n - 1), "positions_not_contiguous").when(F.size(ids) != n, "repeated_product")
     )
-    faults = j.withColumn("fault", fault).where(F.col("fault").isNotNull()).select("skip", "fault")
-    good = cards.drop("marked").join(faults, "skip", "left_anti").withColumn("place", F.col("skip") + F.col("position"))
-    return good, faults
+    judged = p.withColumn("fault", fault)
+    # no filter on the fault: pushed below, it would compute the cards again
+    good = judged.select("skip", F.explode(F.when(F.col("fault").isNull(), F.col("cards"))).alias("c")).select("skip", "c.big_id", "c.title", "c.position")
+    return good.withColumn("place", F.col("skip") + F.col("position")), judged.where(F.col("fault").isNotNull()).select("skip", "fault")
 
 
 MARKETS = "array<struct<Markets: array<string>, OriginalReleaseDate: string, FirstAvailableDate: string>>"

@@ -12,32 +12,40 @@ from . import landing as L
 SEARCH = "struct<success: int, total_count: bigint, start: bigint, results_html: string>"
 
 
+CLASS_MARK = r"(?is)^<a\b[^>]*\sclass\s*=\s*[\"'](?:[^\"']*\s)?search_result_row(?:\s[^\"']*)?[\"']"
+OWN_ID = r"(?is)^<a\b[^>]*\sdata-ds-appid\s*=\s*[\"'](\d+)[\"']"
+LINK_ID = r"(?is)^<a\b[^>]*\shref\s*=\s*[\"'][^\"'>]*/app/(\d+)(?:/|[\"'])"
+TITLE_SPAN = r"(?is)<span\b[^>]*class\s*=\s*[\"'][^\"']*\btitle\b[^\"']*[\"'][^>]*>(.*?)</span>"
+
+
 def search_ranks(raw: DataFrame) -> DataFrame:
     """Every result row of a search page (landing key: start offset) in page
     order, with the reason a row was refused.  A page with five rows or more of
     which over a fifth were refused is refused as a whole, as is one whose
-    offset is not the asked one."""
+    offset is not the asked one.  Pages are judged row by row, no shuffle."""
     page = raw.select(F.col("key").cast("bigint").alias("asked"), F.from_json("body", SEARCH).alias("b"))
-    anchors = F.filter(
-        F.regexp_extract_all("b.results_html", F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0)),
-        lambda a: a.rlike(r"(?is)^<a\b[^>]*\sclass\s*=\s*[\"'](?:[^\"']*\s)?search_result_row(?:\s[^\"']*)?[\"']"))
-    rows = page.select("asked", (F.coalesce(F.col("b.start"), F.col("asked")) == F.col("asked")).alias("same_start"), F.posexplode(anchors).alias("i", "block"))
-    head = F.regexp_extract("block", r"(?is)^<a\b[^>]*>", 0)
-    own = F.regexp_extract(head, r"(?is)\sdata-ds-appid\s*=\s*[\"'](\d+)[\"']", 1).try_cast("bigint")
-    link = F.regexp_extract(head, r"(?is)\shref\s*=\s*[\"'][^\"']*/app/(\d+)(?:/|[\"'])", 1).try_cast("bigint")
-    title = L.strip_tags(F.regexp_extract("block", r"(?is)<span\b[^>]*class\s*=\s*[\"'][^\"']*\btitle\b[^\"']*[\"'][^>]*>(.*?)</span>", 1))
-    rows = rows.select("asked", "same_start", (F.col("asked") + F.col("i") + 1).alias("rank"), own.alias("own"), link.alias("link"), title.alias("title"))
-    app = F.coalesce("own", "link")
-    reason = (
-        F.when(app.isNull(), "missing_single_appid").when(F.col("own") != F.col("link"), "appid_href_mismatch")
-        .when(app <= 0, "invalid_appid").when(F.col("title") == "", "missing_title")
-    )
-    rows = rows.withColumn("app_id", app).withColumn("reason", reason)
-    share = rows.groupBy("asked").agg(F.count(F.lit(1)).alias("n"), F.count("reason").alias("bad"))
-    drift = (F.col("n") >= 5) & (F.col("bad") > F.col("n") * 0.2)
-    return rows.join(share, "asked").select(
-        F.col("asked").alias("start"), "rank", "app_id", "title",
-        F.when(~F.col("same_start"), "start_mismatch").when(drift, "page_structure_drift").otherwise(F.col("reason")).alias("reason"))
+    anchors = F.filter(F.regexp_extract_all("b.results_html", F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0)), lambda a: a.rlike(CLASS_MARK))
+
+    def facts(block, i):
+        return F.struct(
+            (F.col("asked") + i + 1).alias("rank"), F.regexp_extract(block, OWN_ID, 1).try_cast("bigint").alias("own"),
+            F.regexp_extract(block, LINK_ID, 1).try_cast("bigint").alias("link"), L.strip_tags(F.regexp_extract(block, TITLE_SPAN, 1)).alias("title"))
+
+    def judged(r):
+        app = F.coalesce(r["own"], r["link"])
+        reason = (
+            F.when(app.isNull(), "missing_single_appid").when(r["own"] != r["link"], "appid_href_mismatch")
+            .when(app <= 0, "invalid_appid").when(r["title"] == "", "missing_title")
+        )
+        return F.struct(r["rank"].alias("rank"), app.alias("app_id"), r["title"].alias("title"), reason.alias("reason"))
+
+    rows = page.select("asked", F.coalesce(F.col("b.start") == F.col("asked"), F.lit(True)).alias("same_start"), F.transform(anchors, facts).alias("rows"))
+    rows = rows.withColumn("rows", F.transform("rows", judged))
+    bad = F.size(F.filter("rows", lambda r: r["reason"].isNotNull()))
+    drift = (F.size("rows") >= 5) & (bad > F.size("rows") * 0.2)
+    flat = rows.select("asked", "same_start", drift.alias("drift"), F.explode("rows").alias("r"))
+    reason = F.when(~F.col("same_start"), "start_mismatch").when(F.col("drift"), "page_structure_drift").otherwise(F.col("r.reason"))
+    return flat.select(F.col("asked").alias("start"), "r.rank", "r.app_id", "r.title", reason.alias("reason"))
 
 
 FEATURED = "struct<top_sellers: struct<items: array<struct<id: bigint, name: string>>>>"
@@ -45,17 +53,22 @@ FEATURED = "struct<top_sellers: struct<items: array<struct<id: bigint, name: str
 
 def featured_ranks(raw: DataFrame) -> DataFrame:
     """First rank of every app in a featured list (landing key: list id);
-    repeats are refused and conflicting titles mark the app."""
-    items = raw.select("key", F.posexplode(F.from_json("body", FEATURED)["top_sellers"]["items"]).alias("i", "it"))
-    rows = items.select("key", (F.col("i") + 1).alias("rank"), F.col("it.id").alias("app_id"), F.trim(F.coalesce("it.name", F.lit(""))).alias("title"))
-    ok = F.coalesce((F.col("app_id") > 0) & (F.col("title") != ""), F.lit(False))
-    per = rows.where(ok).groupBy("key", "app_id").agg(
-        F.min("rank").alias("first"), (F.min(T.norm_title_basic("title")) != F.max(T.norm_title_basic("title"))).alias("conflict"))
+    repeats are refused and conflicting titles mark the app.  A list is short,
+    so it is compared with itself inside its row."""
+    def fact(it, i):
+        title = F.trim(F.coalesce(it["name"], F.lit("")))
+        ok = F.coalesce((it["id"] > 0) & (title != ""), F.lit(False))
+        return F.struct((i + 1).alias("rank"), it["id"].alias("app_id"), title.alias("title"), F.when(ok, it["id"]).alias("valid"), T.norm_title_basic(title).alias("k"))
+
+    lists = raw.select("key", F.transform(F.from_json("body", FEATURED)["top_sellers"]["items"], fact).alias("xs"))
+    lists = lists.withColumn("ids", F.transform("xs", lambda x: F.coalesce(x["valid"], F.lit(-1))))
+    flat = lists.select("key", "xs", "ids", F.explode("xs").alias("x"))
+    conflict = F.exists("xs", lambda y: (y["valid"] == F.col("x.valid")) & (y["k"] != F.col("x.k")))
     reason = (
-        F.when(~ok, "invalid_featured_item").when(F.col("conflict"), "title_conflict")
-        .when(F.col("rank") > F.col("first"), "duplicate_featured_appid")
+        F.when(F.col("x.valid").isNull(), "invalid_featured_item").when(conflict, "title_conflict")
+        .when(F.array_position("ids", F.col("x.valid")) < F.col("x.rank"), "duplicate_featured_appid")
     )
-    return rows.join(per, ["key", "app_id"], "left").select("key", "rank", "app_id", "title", reason.alias("reason"))
+    return flat.select("key", "x.rank", "x.app_id", "x.title", reason.alias("reason"))
 
 
 PLAYED = "struct<response: struct<rollup_date: bigint, ranks: array<struct<rank: int, appid: bigint, peak_in_game: bigint>>>>"
