@@ -44,7 +44,7 @@ def xbox_calendar_cards(pages: DataFrame, page_size: int = PAGE_SIZE) -> tuple[D
     card = lambda t: F.struct(
         _marked(t).alias("marked"), F.upper(L.attribute(t, "data-bi-pid")).alias("big_id"), F.trim(L.attribute(t, "data-bi-prdname")).alias("title"),
         L.attribute(t, "data-bi-carpos").try_cast("int").alias("position"))
-    p = p.withColumns({"start": at(1), "end": at(2), "total": at(3), "cards": F.transform(tags, card)})
+    p = p.withColumns({"start": at(1), "end": at(2), "total": at(3)}).select("*", L.once(F.transform(tags, card)).alias("cards"))
     sound = lambda c: c["marked"] & X.matches(c["big_id"], X.XBOX_SHAPE) & (F.coalesce(c["title"], F.lit("")) != "") & c["position"].isNotNull()
     places = F.array_sort(F.transform("cards", lambda c: c["position"]))
     ids = F.array_distinct(F.transform("cards", lambda c: c["big_id"]))
@@ -56,8 +56,7 @@ def xbox_calendar_cards(pages: DataFrame, page_size: int = PAGE_SIZE) -> tuple[D
         .when(places != F.sequence(F.lit(0), n - 1), "positions_not_contiguous").when(F.size(ids) != n, "repeated_product")
     )
     judged = p.withColumn("fault", fault)
-    # no filter on the fault: pushed below, it would compute the cards again
-    good = judged.select("skip", F.explode(F.when(F.col("fault").isNull(), F.col("cards"))).alias("c")).select("skip", "c.big_id", "c.title", "c.position")
+    good = judged.where(F.col("fault").isNull()).select("skip", F.explode("cards").alias("c")).select("skip", "c.big_id", "c.title", "c.position")
     return good.withColumn("place", F.col("skip") + F.col("position")), judged.where(F.col("fault").isNotNull()).select("skip", "fault")
 
 
@@ -110,7 +109,8 @@ def _hero(images: Column) -> Column:
 
 def xbox_calendar_entries(raw: DataFrame, cards: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     """Dated release of every listed card, or the first test it fails."""
-    products = raw.select(F.explode(F.from_json("body", PRODUCTS)["Products"]).alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")
+    docs = raw.select(L.once(F.from_json("body", PRODUCTS)).alias("doc"))
+    products = docs.select(F.explode("doc.Products").alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")
     j = cards.select("big_id", F.col("title").alias("card_title")).join(products, "big_id", "left")
     j = j.withColumn("loc", _us_local(F.col("p.LocalizedProperties"))).withColumn("title", F.trim("loc.ProductTitle"))
     j = j.withColumn("day", _calendar_day(_us(F.col("p.MarketProperties"))["OriginalReleaseDate"]))
@@ -176,18 +176,19 @@ def calendar_title(title: Column | str) -> Column:
 def _media(media: Column) -> Column:
     """Url of the best official image by role, then by place."""
     good = F.filter(F.coalesce(media, F.array()), lambda m: (m["type"] == "IMAGE") & m["role"].isin(*MEDIA_ROLES) & m["url"].startswith(MEDIA_HOST))
-    out = None
-    for role in MEDIA_ROLES:
-        hit = F.try_element_at(F.filter(good, lambda m, r=role: m["role"] == r), F.lit(1))["url"]
-        out = hit if out is None else F.coalesce(out, hit)
-    return out
+    by_role = [F.try_element_at(F.filter(good, _has_role(role)), F.lit(1))["url"] for role in MEDIA_ROLES]
+    return F.coalesce(*by_role)
+
+
+def _has_role(role: str):
+    return lambda m: m["role"] == role
 
 
 def psn_preorder_pages(pages: DataFrame, category: str, page_size: int = GRID_SIZE) -> tuple[DataFrame, DataFrame]:
     """(listed rows, page faults) of a pre-order category; the landing key is
     the page number.  Rows carry ``candidate`` for full-game pre-orders."""
     doc = F.from_json(L.script_body("body", L.NEXT_DATA), GRID_PAGE)
-    p = pages.select(F.col("key").cast("int").alias("page"), doc["props"].alias("d"))
+    p = pages.select(F.col("key").cast("int").alias("page"), L.once(doc["props"]).alias("d"))
     offset = (F.col("page") - 1) * page_size
     key = F.concat(F.lit(f"CategoryGrid:{category}:en-us:"), offset.cast("string"), F.lit(f":{page_size}"))
     p = p.withColumn("g", F.try_element_at("d.apolloState", key)).withColumn("info", F.col("g.pageInfo"))

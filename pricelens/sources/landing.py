@@ -16,6 +16,16 @@ from ..functions.expr import ColumnLike, col
 RAW_DDL = "source string, key string, fetched_at timestamp, final_url string, body string"
 
 
+def once(value: Column) -> Column:
+    """Mark a costly value (a parsed body) to be computed once per row.
+
+    Filters above a projection are rewritten in terms of its inputs and pushed
+    down, which would parse a body again for every test; a generator's output
+    is left alone.  Selecting ``once(x).alias("x")`` keeps one row per row.
+    """
+    return F.explode(F.array(value))
+
+
 def script_body(html: ColumnLike, attribute: str) -> Column:
     """Text of the first script tag carrying the given attribute pattern."""
     return F.regexp_extract(col(html), rf"(?is)<script\b(?=[^>]*\b{attribute})[^>]*>(.*?)</script>", 1)

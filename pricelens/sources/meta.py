@@ -84,8 +84,8 @@ def _platform_values(p: str) -> Column:
 def open_pages(pages: DataFrame) -> DataFrame:
     """Page data with the product its analytics block points at."""
     scripts = L.script_bodies("body", L.NEXT_DATA)
-    opened = pages.withColumn("scripts", scripts).withColumn("n_next", F.size("scripts"))
-    opened = opened.withColumn("next", F.from_json(F.try_element_at("scripts", F.lit(1)), NEXT)).drop("scripts")
+    opened = pages.select("*", L.once(scripts).alias("scripts")).withColumn("n_next", F.size("scripts"))
+    opened = opened.select("*", L.once(F.from_json(F.try_element_at("scripts", F.lit(1)), NEXT)).alias("next")).drop("scripts")
     key = F.concat(F.lit('Product:{"sku":"'), F.col("next.props.pageProps.analytics.product.sku"), F.lit('"}'))
     return opened.withColumn("a", F.col("next.props.pageProps.analytics.product")).withColumn(
         "p", F.try_element_at("next.props.pageProps.initialApolloState", key))

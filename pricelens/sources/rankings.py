@@ -40,7 +40,7 @@ def search_ranks(raw: DataFrame) -> DataFrame:
         return F.struct(r["rank"].alias("rank"), app.alias("app_id"), r["title"].alias("title"), reason.alias("reason"))
 
     rows = page.select("asked", F.coalesce(F.col("b.start") == F.col("asked"), F.lit(True)).alias("same_start"), F.transform(anchors, facts).alias("rows"))
-    rows = rows.withColumn("rows", F.transform("rows", judged))
+    rows = rows.select("asked", "same_start", L.once(F.transform("rows", judged)).alias("rows"))
     bad = F.size(F.filter("rows", lambda r: r["reason"].isNotNull()))
     drift = (F.size("rows") >= 5) & (bad > F.size("rows") * 0.2)
     flat = rows.select("asked", "same_start", drift.alias("drift"), F.explode("rows").alias("r"))

@@ -159,8 +159,8 @@ def xbox_prices(raw: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     """
     mapped = catalog.where(F.col("xbox_big_id").isNotNull()).select(
         F.upper("xbox_big_id").alias("big_id"), "slug", T.norm_title("title").alias("want"))
-    products = raw.select(F.explode(F.from_json("body", DISPLAY)["Products"]).alias("p")).select(
-        F.upper("p.ProductId").alias("big_id"), "p")
+    docs = raw.select(L.once(F.from_json("body", DISPLAY)).alias("doc"))
+    products = docs.select(F.explode("doc.Products").alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")
     title = F.try_element_at("p.LocalizedProperties", F.lit(1))["ProductTitle"]
     known = products.join(mapped, "big_id").withColumn("title_key", T.norm_title(title))
     known = known.where((F.col("p.ProductKind") == "Game") & (F.col("want") != "") & (F.col("title_key") == F.col("want")))
@@ -224,14 +224,14 @@ def psn_title_key(title) -> Column:
 def psn_fragments(pages: DataFrame) -> DataFrame:
     """Embedded cache fragments of product pages: (product_id, final_url, doc, cache)."""
     page = F.from_json(L.script_body("body", L.NEXT_DATA), PAGE)["props"]["pageProps"]
-    opened = pages.select("final_url", F.upper("key").alias("product_id"), page.alias("pp"))
+    opened = pages.select("final_url", F.upper("key").alias("product_id"), L.once(page).alias("pp"))
     asked = F.concat(F.lit("https://store.playstation.com/en-us/product/"), "product_id")
     opened = opened.where(
         X.matches("product_id", X.PSN_PRODUCT_SHAPE) & (F.col("pp.locale") == "en-us") & (F.col("pp.productId") == F.col("product_id"))
         & (F.rtrim(F.col("final_url"), F.lit("/")) == asked))
     docs = opened.select("product_id", F.explode("pp.batarangs").alias("doc", "part"))
     inner = F.from_json(L.script_body("part.text", ENV_SCRIPT), FRAGMENT)["cache"]
-    return docs.select("product_id", "doc", inner.alias("cache")).where(F.col("cache").isNotNull())
+    return docs.select("product_id", "doc", L.once(inner).alias("cache")).where(F.col("cache").isNotNull())
 
 
 def _observation(price: Column, as_of, public: bool) -> Column:
@@ -320,19 +320,20 @@ def psn_prices(pages: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
         F.when(bound & F.coalesce(trial, F.lit(False)), F.coalesce("c.id", F.concat_ws(":", "c.type", "sku_id"))).alias("trial"))
     per_doc = judged.groupBy("product_id", "doc").agg(
         F.min(F.when(F.col("pub").isNotNull(), F.struct(F.col("pub.amount").alias("a"), "sku_id", "pub"))).alias("best"),
-        F.min("plus").alias("plus"), F.min("concept").alias("concept"))
-    trials = judged.where(F.col("trial").isNotNull()).groupBy("product_id").agg(F.count_distinct("trial").alias("excluded_trials"))
+        F.min("plus").alias("plus"), F.min("concept").alias("concept"), F.collect_set("trial").alias("trials"))
+    # a page has a handful of fragments with a handful of offers each
+    trials = F.size(F.array_distinct(F.flatten(F.collect_list("trials")))).cast("bigint").alias("excluded_trials")
     one = per_doc.groupBy("product_id").agg(
         F.min("best").alias("lo"), F.max("best").alias("hi"), F.count_if(F.col("best").isNull()).alias("empty"),
-        F.min("plus").alias("plus"), F.min("concept").alias("c_lo"), F.max("concept").alias("c_hi"))
+        F.min("plus").alias("plus"), F.min("concept").alias("c_lo"), F.max("concept").alias("c_hi"), trials)
     one = one.where((F.col("empty") == 0) & (F.col("lo") == F.col("hi")) & F.col("c_lo").eqNullSafe(F.col("c_hi")))
     consoles = F.array_compact(F.array(F.when(F.col("ps4"), "ps4"), F.when(F.col("ps5"), "ps5")))
     concept = F.regexp_extract(F.coalesce("c_lo", F.lit("")), r"^Concept:(\d{8})$", 1)
     return (
-        one.join(identity, "product_id").join(trials, "product_id", "left")
+        one.join(identity, "product_id")
         .select("slug", "product_id", F.lit("US").alias("cc"), F.lit("USD").alias("currency"), "lo.pub.*", F.col("lo.sku_id").alias("sku_id"),
                 F.nullif(concept, F.lit("")).alias("concept_id"), consoles.alias("platforms"), "matched_title",
-                F.col("plus.amount").alias("plus_amount"), F.coalesce("excluded_trials", F.lit(0)).cast("bigint").alias("excluded_trials"))
+                F.col("plus.amount").alias("plus_amount"), "excluded_trials")
     )
 
 
