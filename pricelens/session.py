@@ -20,6 +20,8 @@ def build_session(app: str = "pricelens", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # methods over 8 kB are never compiled by the JVM; smaller ones are made then
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
