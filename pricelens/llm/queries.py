@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import nbsvm, quality_rules, toxicity
+from . import mixing, nbsvm, packing, quality_rules, toxicity
 from .common import table
 
 QUERIES = {}
@@ -36,3 +36,21 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def public_tokenizer() -> dict[str, str]:
+    """Files of the public byte-level vocabulary, as parameters of the packer."""
+    import public_tokenizers
+
+    return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+            "pattern": public_tokenizers.PATTERN}
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), **public_tokenizer())
+
+
+@query("op10_mixing", mixing.MIX_SQL)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

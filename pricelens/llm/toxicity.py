@@ -58,20 +58,31 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def fit(slots: np.ndarray, sentence: np.ndarray, of: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.15,
-        shrink: float = 0.3, least: int = 3) -> Model:
+def telling(slots: np.ndarray, doc: np.ndarray, y: np.ndarray, errors: float, least: int) -> np.ndarray:
+    """Slots whose share of documents differs between the labels by ``errors`` standard errors,
+    in at least ``least`` documents."""
+    pair = np.unique(doc * (1 << BITS) + slots)
+    slot, label = pair % (1 << BITS), y[pair >> BITS]
+    n1, n0 = y.sum(), len(y) - y.sum()
+    p = np.bincount(slot[label == 1], minlength=1 << BITS)
+    q = np.bincount(slot[label == 0], minlength=1 << BITS)
+    share = (p + q) / len(y)
+    gap = np.abs(p / n1 - q / n0) / np.sqrt(np.maximum(share * (1 - share) * (1 / n1 + 1 / n0), 1e-12))
+    return (p + q >= least) & (gap >= errors)
+
+
+def fit(slots: np.ndarray, sentence: np.ndarray, of: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.1,
+        shrink: float = 0.05, errors: float = 4.0, least: int = 3) -> Model:
     """Full-batch Adam on the noisy-or likelihood.
 
-    Words in fewer than ``least`` documents of the sample keep weight zero;
-    ``shrink`` is the precision of a normal prior on the others.
+    Only words that tell the labels apart (``errors``, ``least``) get a weight;
+    ``shrink`` is the precision of a normal prior on it.
     """
-    weights, bias = np.zeros(1 << BITS), -4.0
-    docs = np.bincount(np.unique(of[sentence] * (1 << BITS) + slots) % (1 << BITS), minlength=1 << BITS) if len(slots) else np.zeros(1 << BITS)
-    use = docs[slots] >= least
+    weights = np.zeros(1 << BITS)
+    use = telling(slots, of[sentence], y, errors, least)[slots] if len(slots) else np.zeros(0, bool)
     names, idx = np.unique(slots[use], return_inverse=True)
     sent, n = sentence[use], len(of)
-    w = np.zeros(len(names) + 1)
-    w[-1] = bias
+    w = np.append(np.zeros(len(names)), -4.0)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
         z = np.bincount(sent, weights=w[idx], minlength=n) + w[-1]
