@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, nbsvm, packing, quality_rules, toxicity
+from . import line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -54,3 +54,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing", mixing.MIX_SQL)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_line_dedup", line_dedup.LINES_SQL)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op7_url_filters", url_filter.URL_SQL)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.url_filter(pages, url_filter.tracked_hosts(pages), url_filter.RULES)
