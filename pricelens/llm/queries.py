@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
+from . import ann, line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -65,3 +65,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.url_filter(pages, url_filter.tracked_hosts(pages), url_filter.RULES)
+
+
+@query("op4_nearest")
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
