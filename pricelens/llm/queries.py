@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
+from . import ann, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -70,3 +70,8 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_nearest")
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
