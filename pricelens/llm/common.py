@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,3 +91,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
 def fitted(features: DataFrame, fit, schema: str) -> list:
     """Fit on a bounded table of features inside one executor task; rows of the model come back."""
     return features.withColumn("__one", F.lit(1)).groupBy("__one").applyInArrow(fit, schema).collect()
+
+
+#: Bits of a key filter, whatever the number of keys.
+FILTER_BITS = 24
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """Bit set over the low bits of 64-bit keys: a key it lacks is not wanted, others are checked by a join."""
+
+    bits: np.ndarray
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        low = keys.astype(np.int64) & ((1 << FILTER_BITS) - 1)
+        return (self.bits[low >> 6] >> (low & 63) & 1).astype(bool)
+
+
+def key_filter(keys: DataFrame, column: str) -> KeyFilter:
+    """Filter of the hashes in a column; 2 MB, so that it can be broadcast.  It only spares work:
+    with too many keys it lets all rows pass and the join does the rest."""
+    slot = F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)
+    per = keys.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({column} & 63 AS INT))")).alias("bits"))
+    out = np.zeros(1 << FILTER_BITS - 6, dtype=np.int64)
+    found = per.toPandas()  # at most 2^18 rows
+    out[found["w"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    return KeyFilter(out)

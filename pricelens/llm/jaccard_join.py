@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, row_key, settle
+from .common import KeyFilter, blocks, key_filter, row_key, settle
 from .components import components
 from .hashing import U, combine, join, mix, prefix, spans, words
 
@@ -31,8 +31,6 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_BITS, CHUNK_BITS, FAN_IN = 22, 16, 64
 #: A list whose sketch count is over this takes the way for lists of any length.
 LIGHT = 10_000
-#: Bits of the fixed-size filter that spares documents without candidates.
-FILTER_BITS = 23
 CLASS_SEEDS = (U(0x5851F42D4C957F2D), U(0x14057B7EF767814F))
 
 
@@ -168,26 +166,14 @@ def possible(n: Column, pos: Column, m: Column, at: Column) -> Column:
     return sizes & ((100 + PERCENT) * F.least(n - pos, m - at).cast("long") >= PERCENT * (n + m).cast("long"))
 
 
-def filter_of(keys: DataFrame, column: str) -> np.ndarray:
-    """Bit set of a column's low bits, 2^23 bits whatever the number of keys."""
-    slot = F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)
-    per = keys.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({column} & 63 AS INT))")).alias("bits"))
-    out = np.zeros(1 << FILTER_BITS - 6, dtype=np.int64)
-    for row in per.toLocalIterator():  # at most 2^17 rows
-        out[row.w] = row.bits
-    return out
-
-
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(cls, set) of the documents whose row key is in ``keys`` (k1, k2, cls)."""
-    shared = docs.sparkSession.sparkContext.broadcast(filter_of(keys, "k1"))
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(keys, "k1"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        wanted: KeyFilter = shared.value
         for batch in batches:
-            k1 = batch.column("k1").to_numpy()
-            low = k1 & ((1 << FILTER_BITS) - 1)
-            batch = batch.filter(pa.array((bits[low >> 6] >> (low & 63) & 1).astype(bool)))
+            batch = batch.filter(pa.array(wanted.may_hold(batch.column("k1").to_numpy())))
             for piece, texts in blocks(iter([batch]), "__text"):
                 hashes, at = shingle_sets(texts)
                 sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))

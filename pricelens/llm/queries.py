@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, toxicity, url_filter
+from . import ann, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, repeats, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -21,6 +21,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
