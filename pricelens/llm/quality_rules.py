@@ -106,3 +106,30 @@ def quality_rules(docs: DataFrame, ids: Sequence[str] = ("doc_id",), text: str =
         "base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     ).withColumn("failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
+
+
+RULES_SQL = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM cut),
+windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS window FROM (
+    SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, window) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY r),
+measured AS (
+  SELECT s.r, doc_id, CAST(len(words) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_shouts, length(regexp_replace(t, '\P{L}+', '', 'g')) AS n_letters,
+         len(list_filter(words, w -> list_contains([STOP], lower(w)))) AS n_stop_words, len(lines) AS n_lines
+  FROM split s LEFT JOIN covered c ON s.r = c.r),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars >= 1.5 * n_words AND word_chars <= 20 * n_words AND n_symbols <= CAST(0.3 AS DOUBLE) * n_words
+       AND n_shouts <= CAST(0.5 AS DOUBLE) * n_words AND n_letters >= CAST(0.5 AS DOUBLE) * word_chars
+       AND n_stop_words >= CAST(0.02 AS DOUBLE) * n_words AND n_dup_lines <= CAST(0.5 AS DOUBLE) * n_lines AS kept
+FROM based
+""".replace("STOP", ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS)))

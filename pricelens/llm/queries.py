@@ -38,7 +38,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op5_quality_rules")
+@query("op5_quality_rules", quality_rules.RULES_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
