@@ -115,9 +115,9 @@ split AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM cut),
 windows AS (
-  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS window FROM (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS tri FROM (
     SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
-twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, window) AS n FROM windows) WHERE n > 1),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, tri) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS v(k) GROUP BY r),
 measured AS (
   SELECT s.r, doc_id, CAST(len(words) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
