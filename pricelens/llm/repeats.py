@@ -32,8 +32,8 @@ from .common import KeyFilter, blocks, key_filter, row_key, settle
 from .hashing import U, join, mix, prefix, spans
 
 LENGTH, GRAM = 400, 100
-#: Different segments of an anchor that are gathered in one task.
-MOST_SEGMENTS = 256
+#: Different segments of an anchor that are gathered in one task; the scan is quadratic in them at worst.
+MOST_SEGMENTS = 48
 FAR = np.iinfo(np.uint64).max
 
 
@@ -253,7 +253,8 @@ def by_counts(rows: DataFrame, length: int) -> DataFrame:
                 take = pa.array(own)
                 yield pa.RecordBatch.from_arrays([part.column("h").take(take), part.column("g").take(take), pa.array(o.astype(np.int32)), *pair], ["h", "g", "o", "x", "y"])
 
-    hashed = rows.mapInArrow(strings, "h long, g long, o int, x long, y long")
+    # segments in even shares, whatever files they were read from
+    hashed = rows.repartition("h", "g").mapInArrow(strings, "h long, g long, o int, x long, y long")
     twice = hashed.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "y")
     hits = hashed.join(twice, ["x", "y"]).groupBy("h", "g").agg(F.collect_list(F.struct(F.col("o").alias("a"), F.col("o").alias("b"))).alias("ranges"))
     return hits.select("h", "g", "ranges")
