@@ -8,17 +8,24 @@ from pyspark.sql import functions as F
 from .common import settle
 
 
+def stars(edges: DataFrame) -> bool:
+    """Every larger end has one link, and no smaller end is a larger end."""
+    if edges.groupBy("a").count().where("count > 1").take(1):
+        return False
+    return not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").take(1)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each node of ``links`` (a, b).
 
     A round hangs every node's larger neighbours, then its smaller ones, under
     its smallest neighbour; it is two aggregates and joins on the node, written
-    to the shared folder.  Rounds stop when the links no longer change, about
-    log n of them.  Self-links are ignored, nulls must not occur.
+    to the shared folder.  Rounds stop when the links are stars, after about
+    log n of them; links that already are take none.  Self-links are ignored,
+    nulls must not occur.
     """
     edges = settle(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-    state = None
-    while True:
+    while not stars(edges):
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -26,9 +33,15 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         edges = settle(small.where("a <> b").distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    roots = edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
-    return roots.union(edges.select("b", "b").distinct()).toDF("node", "root").groupBy("node").agg(F.min("root").alias("root"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
+
+
+def joined_roots(rooted: DataFrame, links: DataFrame) -> DataFrame:
+    """``rooted`` (node, root), of all nodes, after adding links (a, b) between nodes.
+
+    Only the roots that the links connect go through ``components``.
+    """
+    at = [rooted.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b")]
+    between = links.join(at[0], "a").join(at[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b")
+    merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return settle(rooted.join(merged, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "rooted")

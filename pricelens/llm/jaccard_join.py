@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import KeyFilter, blocks, key_filter, row_key, settle
-from .components import components
+from .components import joined_roots
 from .hashing import U, combine, join, mix, prefix, spans, words
 
 SHINGLE, PERCENT = 5, 75
@@ -211,26 +211,39 @@ def components_of(docs: DataFrame) -> DataFrame:
     counts = sketch(survey.where("chunk IS NOT NULL"))
     classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cls", "k.k1", "k.k2")
     shared = settle(lists(postings(docs, counts)), "lists")
-    toward = shared.where(F.col("cls") != F.col("leader")).where(possible(F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")))
-    first = settle(compared(docs, classes, toward.select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct()), "answers")
-    near = first.where(linked()).select("a", "b")
-    roots = settle(components(near), "roots")
+    rooted = settle(shared.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct(), "rooted")
+    met = possible(F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")) & (F.col("cls") != F.col("leader"))
+
+    def ask(pairs: DataFrame, name: str) -> DataFrame:
+        nonlocal rooted
+        answers = settle(compared(docs, classes, pairs), name)
+        rooted = joined_roots(rooted, answers.where(linked()).select("a", "b"))
+        return answers
+
+    def undecided() -> DataFrame:
+        """Lists whose classes are not all connected, with each class's root."""
+        own = shared.join(rooted, F.col("cls") == F.col("node")).drop("node")
+        mixed = own.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
+        return own.join(mixed, "token")
+
+    # one leader per class, then the leader of each list that is still undecided
+    first = ask(shared.where(met).groupBy("cls").agg(F.min("leader").alias("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b")), "answers")
+    own = undecided().where(met)
+    own = own.join(rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leader").where("root <> leader_root")
+    second = ask(settle(own.select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "asked"), "answers")
 
     # what the leaders' answers leave open
-    known = shared.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
-    known = known.join(first.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d")), ["cls", "leader"], "left")
-    mixed = known.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
+    answers = first.union(second)
+    distance = answers.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d"))
     # compatible sizes lie in the same or neighbouring blocks
     block = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT)))
-    left = known.join(mixed, "token").where("cls <> leader").select("token", "cls", "n", "pos", "root", "d", block.alias("block"))
+    left = settle(undecided().where("cls <> leader").join(distance, ["cls", "leader"], "left").select("token", "cls", "n", "pos", "root", "d", block.alias("block")), "open")
     right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "root", "d")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
     gap = F.coalesce(F.abs(F.col("d") - F.col("d_")), F.lit(0.0))
     pairs = left.join(right, ["token", "block"]).where("cls < cls_ AND root <> root_").where(possible(F.col("n"), F.col("pos"), F.col("n_"), F.col("pos_")))
-    pairs = settle(pairs.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("cls").alias("a"), F.col("cls_").alias("b")).distinct(), "open")
-    more = compared(docs, classes, pairs).where(linked()).select("a", "b") if pairs.take(1) else near.limit(0)
-    if more.take(1):
-        roots = settle(components(near.union(more)), "roots")
-    out = rows.join(roots, F.col("cls") == F.col("node"), "left")
+    pairs = pairs.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("cls_").alias("a"), F.col("cls").alias("b")).distinct()
+    ask(settle(pairs.join(answers, ["a", "b"], "left_anti"), "pairs"), "answers")
+    out = rows.join(rooted, F.col("cls") == F.col("node"), "left")
     some = F.col("n") > 0
     return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(some, F.col("cls")).alias("cls"), F.when(some, F.coalesce("root", "cls")).alias("root"))
 
