@@ -31,6 +31,8 @@ SHINGLE, PERCENT = 5, 75
 SKETCH_BITS, CHUNK_BITS, FAN_IN = 22, 16, 64
 #: A list whose sketch count is over this takes the way for lists of any length.
 LIGHT = 10_000
+#: Undecided lists up to this length are paired member by member; members of longer ones meet in blocks.
+PAIRED, BLOCK = 32, 256
 CLASS_SEEDS = (U(0x5851F42D4C957F2D), U(0x14057B7EF767814F))
 
 
@@ -194,6 +196,63 @@ def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     return both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("either"))
 
 
+def overlaps(one: np.ndarray, rows: np.ndarray, n_rows: int, left: np.ndarray, right: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Intersection sizes of the sets of ``left`` rows with those of ``right`` rows; entries are (row, shingle number)."""
+    out = np.zeros((len(left), len(right)))
+    order = np.argsort(one, kind="stable")
+    one, rows = one[order], rows[order]
+    last = int(one[-1]) + 1 if len(one) else 0
+    for start in range(0, last, step):
+        a, b = np.searchsorted(one, [start, start + step])
+        cells = np.zeros((n_rows, step), dtype=np.float32)
+        cells[rows[a:b], one[a:b] - start] = 1
+        out += cells[left] @ cells[right].T
+    return out
+
+
+def block_links(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) that connect different roots among the members (leader, cls, root) of each leader.
+
+    Members are dealt to blocks of bounded size and every two blocks meet in one
+    task; a task returns a spanning set of the links between roots, not all.
+    """
+    keys = settle(members.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
+    sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
+    sizes = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"))
+    dealt = members.join(sizes, "leader").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb"))).join(sets, "cls")
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb").cast("long") - 1)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        cls, root, own = (table.column(c).to_numpy() for c in ("cls", "root", "own"))
+        sets = [x.values.to_numpy() for x in table.column("set")]
+        n = np.array([len(x) for x in sets])
+        values, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        rows, many = np.repeat(np.arange(len(n)), n), times[number] > 1
+        number = (np.cumsum(times > 1) - 1)[number[many]]
+        first = own == own.min()
+        left, right = (np.flatnonzero(first), np.flatnonzero(~first)) if not first.all() else (np.arange(len(n)), np.arange(len(n)))
+        both = overlaps(number, rows[many], len(n), left, right)
+        hit = (100 * both >= PERCENT * (n[left][:, None] + n[right][None] - both)) & (root[left][:, None] != root[right][None])
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        found: list[tuple[int, int]] = []
+        for i, j in zip(*np.nonzero(hit)):
+            a, b = left[i], right[j]
+            x, y = find(int(root[a])), find(int(root[b]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((int(cls[a]), int(cls[b])))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    keyed_ = dealt.select("leader", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "root", "set")
+    return keyed_.groupBy("leader", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def linked() -> Column:
     return 100 * F.col("common") >= PERCENT * F.col("either")
 
@@ -226,18 +285,31 @@ def components_of(docs: DataFrame) -> DataFrame:
         mixed = own.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         return own.join(mixed, "token")
 
-    # one leader per class, then the leader of each list that is still undecided
+    # one leader per class; then, in each list that is still undecided, its leader against all its classes
     first = ask(shared.where(met).groupBy("cls").agg(F.min("leader").alias("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b")), "answers")
-    own = undecided().where(met)
-    own = own.join(rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leader").where("root <> leader_root")
-    second = ask(settle(own.select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "asked"), "answers")
-
-    # what the leaders' answers leave open
+    own = undecided().where(F.col("cls") != F.col("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b"))
+    second = ask(settle(own.distinct().join(first, ["a", "b"], "left_anti"), "asked"), "answers")
     answers = first.union(second)
     distance = answers.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d"))
-    # compatible sizes lie in the same or neighbouring blocks
+
+    # a leader may lie at the rim of its group: the class nearest to it is asked next, then the
+    # nearest one among those that are still apart from it
+    for apart in (False, True):
+        own = undecided().join(distance, ["cls", "leader"], "left")
+        heads = rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+        near = own.where("d IS NOT NULL").join(heads, "leader").where(F.lit(not apart) | (F.col("root") != F.col("leader_root")))
+        hubs = near.groupBy("token").agg(F.min(F.struct("d", "cls", "root")).alias("hub")).select("token", F.col("hub.cls").alias("hub"), F.col("hub.root").alias("hub_root"))
+        own = own.join(hubs, "token").where("root <> hub_root").select(F.greatest("cls", "hub").alias("a"), F.least("cls", "hub").alias("b"))
+        answers = answers.union(ask(settle(own.distinct().join(answers, ["a", "b"], "left_anti"), "asked"), "answers"))
+
+    # what these answers leave open; the distances to a list's leader bound the distance of two members
+    open_ = settle(undecided().join(distance, ["cls", "leader"], "left"), "open")
+    long_lists = open_.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIRED).select("token")
+    # long lists: all members of a leader's lists against each other, block by block
+    rooted = joined_roots(rooted, settle(block_links(docs, classes, open_.join(long_lists, "token", "left_semi").select("leader", "cls", "root").distinct()), "found"))
+    # short lists: pairs; compatible sizes lie in the same or neighbouring blocks
     block = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT)))
-    left = settle(undecided().where("cls <> leader").join(distance, ["cls", "leader"], "left").select("token", "cls", "n", "pos", "root", "d", block.alias("block")), "open")
+    left = open_.join(long_lists, "token", "left_anti").where("cls <> leader").select("token", "cls", "n", "pos", "root", "d", block.alias("block"))
     right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "root", "d")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
     gap = F.coalesce(F.abs(F.col("d") - F.col("d_")), F.lit(0.0))
     pairs = left.join(right, ["token", "block"]).where("cls < cls_ AND root <> root_").where(possible(F.col("n"), F.col("pos"), F.col("n_"), F.col("pos_")))
