@@ -112,10 +112,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, all columns, each as often as it is taken."""
-    plan = mix(docs, **options).groupBy("k1", "k2").agg(F.sum("copies").alias("__copies")).where("__copies > 0")
+    plan = mix(docs, **options).groupBy("k1", "k2").agg(F.sum("copies").alias("__copies")).where("__copies > 0").withColumnsRenamed({"k1": "__p1", "k2": "__p2"})
     keyed = docs.select("*", *[k.alias(f"__{n}") for k, n in zip(row_key("doc_id", "text", "source"), ("k1", "k2"))])
     once = keyed.dropDuplicates(["__k1", "__k2"])
-    joined = once.join(plan, (F.col("__k1") == plan.k1) & (F.col("__k2") == plan.k2))
+    joined = once.join(plan, (F.col("__k1") == F.col("__p1")) & (F.col("__k2") == F.col("__p2")))
     copied = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return copied.select(*docs.columns)
 

@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
 
 
 def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",), text: str = "text", keep: tuple[str, ...] = (),
-          least: float = 0.3) -> DataFrame:
+          least: float = 0.3, named: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """Score of every document: ``ids``, the columns of ``keep``, score (0 to 1), predicted (score >= ``least``).
 
     A null or empty text has no indicators and gets the score of the bias
@@ -172,9 +172,9 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",), tex
             margin = sums[at[1:]] - sums[at[:-1]] + m.bias
             p = 1.0 / (1.0 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
             arrays, names = without(piece, "__text")
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(p), pa.array((p >= least).astype(np.int32))], [*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(p), pa.array((p >= least).astype(np.int32))], [*names, *named])
 
-    return slim.mapInArrow(scored, f"{schema}, score double, predicted int")
+    return slim.mapInArrow(scored, ", ".join(x for x in (schema, f"{named[0]} double, {named[1]} int") if x))
 
 
 def quality(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
@@ -186,5 +186,5 @@ def quality(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFram
 def keep_good(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """The documents whose score reaches 0.3, all columns unchanged."""
     model = train(docs, labels, bound=bound)
-    out = score(docs, model, ids=(), keep=tuple(docs.columns))
-    return out.where("predicted = 1").select(*docs.columns)
+    out = score(docs, model, ids=(), keep=tuple(docs.columns), named=("__score", "__predicted"))
+    return out.where("__predicted = 1").select(*docs.columns)
