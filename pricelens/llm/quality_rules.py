@@ -75,14 +75,16 @@ def quality_rules(docs: DataFrame, ids: Sequence[str] = ("doc_id",), text: str =
     cut = cut.withColumn("__w", F.when(F.col("__b") == "", F.array().cast("array<string>")).otherwise(F.split("__b", f"{SPACE_CLASS}+")))
     cut = cut.withColumn("__l", F.filter(F.split("__t", "\n"), lambda line: F.btrim(line, spaces) != ""))
     count = cut.withColumn("n_words", F.size("__w").cast("long"))
-    # "w1 w2 w3\nposition": equal windows stand side by side after sorting
-    window = F.transform(
-        F.slice("__w", F.lit(1), F.greatest(F.size("__w") - 2, F.lit(0))),
-        lambda w, i: F.concat(w, F.lit(" "), F.get("__w", i + 1), F.lit(" "), F.get("__w", i + 2), F.lit("\n"), i.cast("string")),
-    )
+    # "w1 w2 w3\nposition": equal windows stand side by side after sorting.  Neighbours are zipped, not
+    # looked up, so that no lambda holds an array that an optimised plan would compute for each element.
+    n = F.greatest(F.size("__w") - 2, F.lit(0))
+    three = F.arrays_zip(*[F.slice("__w", F.lit(k), n).alias(f"w{k}") for k in (1, 2, 3)])
+    window = F.transform(three, lambda z, i: F.concat(z["w1"], F.lit(" "), z["w2"], F.lit(" "), z["w3"], F.lit("\n"), i.cast("string")))
     ordered = count.withColumn("__s", F.sort_array(window))
     ordered = ordered.withColumn("__k", F.transform("__s", lambda s: F.substring_index(s, "\n", 1)))
-    twice = F.filter("__s", lambda s, i: (F.get("__k", i) == F.get("__k", i - 1)) | (F.get("__k", i) == F.get("__k", i + 1)))
+    ahead, behind = F.concat(F.array(F.lit(None).cast("string")), F.col("__k")), F.slice("__k", F.lit(2), F.size("__k"))
+    sides = F.arrays_zip(F.col("__s").alias("s"), F.col("__k").alias("k"), ahead.alias("p"), behind.alias("q"))
+    twice = F.transform(F.filter(sides, lambda z: (z["k"] == z["p"]) | (z["k"] == z["q"])), lambda z: z["s"])
     at = F.transform(twice, lambda s: F.substring_index(s, "\n", -1).cast("int"))
     covered = F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(p, p + 1, p + 2))))
     stop = list(dict.fromkeys(STOP_WORDS))
