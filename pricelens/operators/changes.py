@@ -75,24 +75,18 @@ def coverage_drop(previous: DataFrame, current: DataFrame, keep: float = 0.8) ->
         "keep_previous", (F.col("n_previous") > 0) & (F.col("n_current") < F.col("n_previous") * F.lit(keep)))
 
 
-# Regions a store answers for, fixed values.
-STEAM_REGIONS = ("AR", "AU", "BR", "CA", "CH", "CN", "DE", "GB", "GE", "IN", "JP", "KR", "KZ", "MX", "PK", "TR", "UA", "US")
-ESHOP_GROUPS = {
-    "americas": ("AR", "BR", "CA", "CO", "MX", "US"),
-    "europe": ("AU", "CH", "DE", "DK", "GB", "NO", "NZ", "PL", "ZA"),
-    "japan": ("JP",),
-}
+# Number of regions in each store group, and the fewest a first version covers, fixed values.
+ESHOP_GROUPS = {"americas": 6, "europe": 9, "japan": 1}
 STEAM_MINIMUM = 10
 
 
 def minimum_regions(channel: str = "channel") -> Column:
     """Regions a first version must cover, given the game's mapped groups."""
     mapped = sum(
-        (F.when(F.col(f"nsuid_{g}").isNotNull(), len(ccs)).otherwise(0) for g, ccs in ESHOP_GROUPS.items()),
+        (F.when(F.col(f"nsuid_{g}").isNotNull(), n).otherwise(0) for g, n in ESHOP_GROUPS.items()),
         F.lit(0))
-    steam = min(STEAM_MINIMUM, len(STEAM_REGIONS))
     return (
-        F.when(F.col(channel) == "steam", steam)
+        F.when(F.col(channel) == "steam", STEAM_MINIMUM)
         .when(F.col(channel) == "eshop", F.ceil(mapped * F.lit(0.8)).cast("int"))
         .otherwise(0)
     )

@@ -254,7 +254,7 @@ SELECT slug, concat('g', substr(slug, 2)) AS tracked, header_image FROM v_catalo
 SELECT r.seq, r.platform, coalesce(r.image, m.header_image) AS image, r.slug_if_tracked FROM v_releases r LEFT JOIN v_meta m ON r.slug_if_tracked = m.tracked
 """)
 def image_fallback(spark, d):
-    meta = B.catalog(spark, d).select(F.concat(F.lit("g"), F.substring("slug", 2, 20)).alias("slug"), "header_image")
+    meta = B.catalog(spark, d).select(F.concat(F.lit("g"), F.expr("substring(slug, 2)")).alias("slug"), "header_image")
     return K.image_fallback(B.releases(spark, d), meta).select("seq", "platform", "image", "slug_if_tracked")
 
 

@@ -79,7 +79,7 @@ def psn_pages(spark, d):
     sku = F.struct(F.lit("Sku").alias("__typename"), F.lit("S1").alias("id"), F.when(s == 6, "Demo").otherwise("Game").alias("name"))
     # entities of one cache differ in shape, so each map entry is text of its own
     entry = lambda k, e: F.concat(F.to_json(F.create_map(k, e)))
-    joined = lambda *parts: F.concat(F.lit("{"), F.concat_ws(",", *[F.substring(x, 2, 10**6).substr(F.lit(1), F.length(x) - 2) for x in parts]), F.lit("}"))
+    joined = lambda *parts: F.concat(F.lit("{"), F.concat_ws(",", *[x.substr(F.lit(2), F.length(x) - 2) for x in parts]), F.lit("}"))
     prod_key = F.concat(F.lit("Product:"), psn_id())
     cache_a = joined(entry(prod_key, view_a))
     cache_b = joined(entry(prod_key, view_b), entry(F.lit("Sku:S1"), sku), entry(F.lit("cta1"), psn_cta(s, sale, "cash")),
@@ -155,7 +155,7 @@ def psn_preorder_pages(spark, d):
     inner = lambda k, e: F.to_json(F.create_map(k, e))
     grid_json = inner(F.concat(F.lit("CategoryGrid:cat:en-us:"), row.cast("string"), F.lit(":1")), grid)
     item_json = inner(F.concat(F.lit("Product:"), psn_id(), F.lit(":en-us")), item)
-    state_json = F.concat(F.substring(grid_json, 1, 10**6).substr(F.lit(1), F.length(grid_json) - 1), F.lit(","), item_json.substr(F.lit(2), F.length(item_json)))
+    state_json = F.concat(grid_json.substr(F.lit(1), F.length(grid_json) - 1), F.lit(","), item_json.substr(F.lit(2), F.length(item_json)))
     props = F.to_json(F.struct(F.lit("en-us").alias("locale"), F.lit("cat").alias("categoryId"), (row + 1).alias("page"), F.lit(200).alias("statusCode")))
     doc = F.concat(F.lit('{"props":{"pageProps":'), props, F.lit(',"apolloState":'), state_json, F.lit("}}"))
     body = F.concat(F.lit("<html>"), script('id="__NEXT_DATA__"', doc), F.lit("</html>"))

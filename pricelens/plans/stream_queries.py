@@ -26,12 +26,15 @@ def workspace(spark: SparkSession) -> str:
 
 
 def landed(df: DataFrame, time: str, cuts: Sequence[str], path: str) -> DataFrame:
-    """Land a table in time order, a batch per span, and open it as a stream."""
+    """Land a table in time order and open it as a stream.
+
+    All that is landed is read in one trigger, so the number of files cannot split a span.
+    """
     edges = ["0001-01-01", *cuts, "9999-01-01"]
     for lo, hi in zip(edges, edges[1:]):
         span = (F.col(time) >= F.lit(lo).cast("timestamp")) & (F.col(time) < F.lit(hi).cast("timestamp"))
         df.where(span).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 16).parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
 def finish(stream: DataFrame, home: str, sink: str) -> DataFrame:

@@ -39,8 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that setting
-    is used as is.  Only where it is unset (tests, a laptop) a temporary folder
-    takes its place.
+    is used as is.  Only where it is unset and the master is local (tests, a
+    laptop) a temporary folder takes its place; a cluster without it is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="pricelens-checkpoint-"))
         current = sc.getCheckpointDir()
     return current
