@@ -115,7 +115,7 @@ WITH cut AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 split AS (
   SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM cut),
+         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM cut),
 windows AS (
   SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS tri FROM (
     SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split)),
@@ -126,7 +126,7 @@ measured AS (
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
          length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_shouts, length(regexp_replace(t, '\P{L}+', '', 'g')) AS n_letters,
-         len(list_filter(words, w -> list_contains([STOP], lower(w)))) AS n_stop_words, len(lines) AS n_lines
+         len(list_filter(words, lambda w: list_contains([STOP], lower(w)))) AS n_stop_words, len(lines) AS n_lines
   FROM split s LEFT JOIN covered c ON s.r = c.r),
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
