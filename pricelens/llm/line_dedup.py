@@ -116,10 +116,10 @@ def keep_bitmaps(docs: DataFrame, min_points: int = MIN_POINTS, min_docs: int =
     schema = "h long, g long, doc long, k1 long, k2 long, n_lines long, pos long, open boolean"
     seen = settle(laid.mapInArrow(streamed(min_docs), schema), "lines")
     lines = seen.where("open")
-    # at most two keys of each partition
+    # at most two keys of each partition, so the edges are broadcast and the lines of a frequent key stay where they are
     per = lines.groupBy("h", "g", "doc").agg(F.lit(1).alias("one")).groupBy("h", "g").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
     edges = per.where(F.col("docs") >= min_docs).drop("docs")
-    late = lines.join(edges, ["h", "g"]).where(F.col("doc") != F.col("last"))
+    late = lines.join(F.broadcast(edges), ["h", "g"]).where(F.col("doc") != F.col("last"))
     lost = seen.where("NOT open").select("k1", "k2", "n_lines", "pos").union(late.select("k1", "k2", "n_lines", "pos"))
     per_doc = lost.groupBy("k1", "k2", "n_lines").agg(F.collect_set("pos").alias("pos"))
 
