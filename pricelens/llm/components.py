@@ -43,5 +43,8 @@ def joined_roots(rooted: DataFrame, links: DataFrame) -> DataFrame:
     """
     at = [rooted.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b")]
     between = links.join(at[0], "a").join(at[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b")
+    between = settle(between.distinct(), "between")
+    if between.isEmpty():
+        return rooted
     merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
     return settle(rooted.join(merged, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "rooted")

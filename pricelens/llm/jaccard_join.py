@@ -275,6 +275,8 @@ def components_of(docs: DataFrame) -> DataFrame:
 
     def ask(pairs: DataFrame, name: str) -> DataFrame:
         nonlocal rooted
+        if pairs.isEmpty():
+            return pairs.select("a", "b", F.lit(0).cast("long").alias("common"), F.lit(0).cast("long").alias("either"))
         answers = settle(compared(docs, classes, pairs), name)
         rooted = joined_roots(rooted, answers.where(linked()).select("a", "b"))
         return answers
@@ -286,7 +288,8 @@ def components_of(docs: DataFrame) -> DataFrame:
         return own.join(mixed, "token")
 
     # one leader per class; then, in each list that is still undecided, its leader against all its classes
-    first = ask(shared.where(met).groupBy("cls").agg(F.min("leader").alias("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b")), "answers")
+    own = shared.where(met).groupBy("cls").agg(F.min("leader").alias("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b"))
+    first = ask(settle(own, "asked"), "answers")
     own = undecided().where(F.col("cls") != F.col("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b"))
     second = ask(settle(own.distinct().join(first, ["a", "b"], "left_anti"), "asked"), "answers")
     answers = first.union(second)
@@ -306,7 +309,9 @@ def components_of(docs: DataFrame) -> DataFrame:
     open_ = settle(undecided().join(distance, ["cls", "leader"], "left"), "open")
     long_lists = open_.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIRED).select("token")
     # long lists: all members of a leader's lists against each other, block by block
-    rooted = joined_roots(rooted, settle(block_links(docs, classes, open_.join(long_lists, "token", "left_semi").select("leader", "cls", "root").distinct()), "found"))
+    members = settle(open_.join(long_lists, "token", "left_semi").select("leader", "cls", "root").distinct(), "members")
+    if not members.isEmpty():
+        rooted = joined_roots(rooted, settle(block_links(docs, classes, members), "found"))
     # short lists: pairs; compatible sizes lie in the same or neighbouring blocks
     block = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT)))
     left = open_.join(long_lists, "token", "left_anti").where("cls <> leader").select("token", "cls", "n", "pos", "root", "d", block.alias("block"))
