@@ -20,21 +20,3 @@ def broadcast_if_small(df: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     shuffle join Spark would plan anyway (with skew handling at run time).
     """
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
-SPREAD_BYTES = 512 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small table stored in few files.
-
-    A parquet file of one row group is one task.  Tables of any real size come
-    in many splits and are returned unchanged; only a small scan with fewer
-    files than cores is dealt out once, after its columns were chosen.
-    """
-    size = estimated_bytes(df)
-    if size > SPREAD_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = min(cores, size // (2 * 1024 * 1024) + 1)
-    return df.repartition(parts) if len(df.inputFiles()) < parts else df

@@ -1,7 +1,8 @@
 """Title, slug and name normalisation.
 
 Unicode normal forms have no built-in Spark function; one Arrow UDF covers
-them and is applied only to rows that hold a non-ASCII character.
+them.  It sees a null in place of every text that is all ASCII, which has no
+other form.
 """
 
 from __future__ import annotations
@@ -26,6 +27,11 @@ def nfkd(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKD", v))
 
 
+def _folded(form, text: Column) -> Column:
+    """Normal form of a text; ASCII texts are their own and do not go through Python."""
+    return F.coalesce(form(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+
+
 def norm_title_basic(title: ColumnLike) -> Column:
     """Title key without compatibility folding: lower case, letters and digits."""
     lowered = F.lower(F.coalesce(col(title), F.lit("")))
@@ -35,7 +41,7 @@ def norm_title_basic(title: ColumnLike) -> Column:
 def norm_title(title: ColumnLike) -> Column:
     """Title key: legal marks dropped, compatibility forms folded."""
     lowered = F.lower(F.coalesce(col(title), F.lit("")))
-    folded = nfkc(F.regexp_replace(lowered, "[™®©℠]", ""))
+    folded = _folded(nfkc, F.regexp_replace(lowered, "[™®©℠]", ""))
     return F.regexp_replace(folded, r"[^\p{L}\p{N}]+", "")
 
 
@@ -53,11 +59,11 @@ def edition_keys(key: ColumnLike) -> Column:
 
 def loose_title(title: ColumnLike) -> Column:
     """Case and spacing folded, punctuation kept."""
-    return F.lower(F.trim(F.regexp_replace(nfkc(F.coalesce(col(title), F.lit(""))), r"\s+", " ")))
+    return F.lower(F.trim(F.regexp_replace(_folded(nfkc, F.coalesce(col(title), F.lit(""))), r"\s+", " ")))
 
 
 def slugify(title: ColumnLike, length: int = 64) -> Column:
-    plain = F.regexp_replace(nfkd(F.coalesce(col(title), F.lit(""))), r"\p{M}+", "")
+    plain = F.regexp_replace(_folded(nfkd, F.coalesce(col(title), F.lit(""))), r"\p{M}+", "")
     words = F.regexp_replace(F.lower(plain), "&", " and ")
     dashed = F.regexp_replace(F.regexp_replace(words, "[^a-z0-9]+", "-"), "^-+|-+$", "")
     return F.regexp_replace(F.substring(dashed, 1, length), "-+$", "")

@@ -7,11 +7,12 @@ items sharing one are rejected, so the outcome does not depend on row order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
+from ..functions.ordering import group_row_number
 from .changes import owner_conflicts
 
 NSUIDS = ("nsuid_americas", "nsuid_europe", "nsuid_japan")
@@ -128,7 +129,8 @@ def resolve_identity(records: DataFrame, catalog: DataFrame, title_key=T.norm_ti
 
 def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None = None) -> DataFrame:
     """Collision-free slugs for new games: the title's slug, then with the
-    release year, then with the store id, then with a counter.
+    release year, then with the store id, then with a counter after the highest
+    one in use.
 
     ``candidates`` holds (seq, title, year, store_id).  Claims are settled in
     rounds over all candidates: the earliest ``seq`` claiming a free slug gets
@@ -152,9 +154,14 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
         done = won if done is None else done.unionByName(won)
         taken = taken.unionByName(winners.select("slug"))
         open_ = open_.join(winners.select("seq"), "seq", "left_anti")
-    # what is left repeats both base and store id
-    w = Window.partitionBy("base", "store_id").orderBy("seq")
-    rest = open_.withColumn("slug", F.concat_ws("-", "base", F.col("store_id").cast("string"), (F.row_number().over(w) + 1).cast("string")))
+    # what is left repeats both base and store id; (stem, counter) names a slug, so new counters are free
+    stem = F.concat_ws("-", "base", F.col("store_id").cast("string"))
+    rest = group_row_number(open_.withColumn("stem", stem), ["stem"], [F.col("seq")], "n")
+    counter = r"^(.*)-(\d{1,9})$"
+    used = taken.where(F.col("slug").rlike(counter)).groupBy(F.regexp_extract("slug", counter, 1).alias("stem")).agg(
+        F.max(F.regexp_extract("slug", counter, 2).cast("long")).alias("used"))
+    rest = rest.join(used, "stem", "left").withColumn("n", F.greatest(F.coalesce("used", F.lit(1)), F.lit(1)) + F.col("n"))
+    rest = rest.select(*open_.columns, F.concat_ws("-", "stem", F.col("n").cast("string")).alias("slug"))
     return done.unionByName(rest)
 
 

@@ -233,9 +233,13 @@ def _terms(text: str | Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(X.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
 
 
+#: Most edits a query term may have, however long it is.
+MOST_EDITS = 6
+
+
 def _edits(length: Column) -> Column:
-    """Edits allowed for a query term: a fifth of its length, rounded."""
-    return F.least(F.floor(length * 0.2 + 0.5), F.lit(6)).cast("int")
+    """Edits allowed for a query term: a fifth of its length, rounded, ``MOST_EDITS`` at most."""
+    return F.least(F.floor(length * 0.2 + 0.5), F.lit(MOST_EDITS)).cast("int")
 
 
 def similar_terms(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -266,8 +270,8 @@ def similar_terms(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
         q.where(F.col("k") > 0).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
         .select("q", "k", "len", "i", F.substring(F.col("q"), start + 1, width).alias("piece"))
     )
-    # query lengths a term can answer: at most 6 edits away and within their own allowance
-    lens = t.withColumn("len", F.explode(F.sequence(F.greatest(F.col("tlen") - 6, F.lit(1)), F.col("tlen") + 6)))
+    # query lengths a term can answer: at most ``MOST_EDITS`` away and within their own allowance
+    lens = t.withColumn("len", F.explode(F.sequence(F.greatest(F.col("tlen") - MOST_EDITS, F.lit(1)), F.col("tlen") + MOST_EDITS)))
     lens = lens.withColumn("k", _edits(F.col("len"))).where((F.col("k") > 0) & (F.abs(F.col("len") - F.col("tlen")) <= F.col("k")))
     spots = lens.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k")))).withColumn("shift", F.explode(F.sequence(-F.col("k"), F.col("k"))))
     at = start + F.col("shift")
@@ -284,7 +288,7 @@ def similar_terms(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
 
 def fuzzy_title_search(queries: DataFrame, catalog: DataFrame, limit: int = 8) -> DataFrame:
     """Top titles of every query: terms match as a whole, as a prefix or within
-    a fifth of their length in edits; any matching term counts.
+    a fifth of their length in edits (``MOST_EDITS`` at most); any matching term counts.
 
     Scoring runs over distinct titles; each brings at most ``limit`` games, so
     a title shared by very many games costs no more than any other.

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions.ordering import first_per_key
-from ..functions.sizing import spread
 from ..operators import prices
 from .registry import view
 
@@ -52,7 +51,6 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
-    li = spread(li)
     sellers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
         table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"),
         F.col("s_nationkey") == F.col("n_nationkey"))

@@ -172,10 +172,9 @@ def duplicate_values(spark, d):
 @query("owner_conflicts", """
 SELECT DISTINCT concat('i', CAST(l_suppkey AS VARCHAR)) AS slug, 'steam_app_id' AS id_kind, id, v.slug AS owner
 FROM lineitem JOIN v_ids v ON v.id_kind = 'steam_app_id' AND v.id = CAST(100000 + l_partkey AS VARCHAR)
-WHERE l_quantity = 50
 """)
 def owner_conflicts(spark, d):
-    items = B.table(spark, d, "lineitem").where(F.col("l_quantity") == 50).select(
+    items = B.table(spark, d, "lineitem").select(
         F.concat(F.lit("i"), F.col("l_suppkey").cast("string")).alias("slug"), (F.lit(100000) + F.col("l_partkey")).alias("steam_app_id"))
     return C.owner_conflicts(items, B.catalog(spark, d), ["steam_app_id"])
 
@@ -385,8 +384,8 @@ SELECT user_id AS source, count(*) AS weeks, max(n) AS most_in_week,
   count(*) >= 2 AND max(n) = 1 AND epoch(max(hi)) - epoch(min(lo)) >= 518400 AS stable FROM w GROUP BY 1
 """)
 def weekly_stability(spark, d):
-    ev = B.table(spark, d, "events").where(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("source"), F.col("ts").alias("run_at"), (F.col("value") > 10).alias("complete"))
+    ev = B.table(spark, d, "events").select(
+        F.col("user_id").alias("source"), F.col("ts").alias("run_at"), ((F.col("event_type") == "purchase") & (F.col("value") > 10)).alias("complete"))
     return H.weekly_stability(ev)
 
 

@@ -188,14 +188,15 @@ SELECT concat('p', CAST(p_partkey AS VARCHAR)) AS slug, product_id FROM part JOI
 """)
 def exact_unique_suggestion(spark, d):
     part = B.table(spark, d, "part")
-    results = part.where(F.col("p_size") == 7).select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"), F.when(F.col("p_type") == "SMALL", "Game").otherwise("Movie").alias("kind"))
+    game = (F.col("p_type") == "SMALL") & (F.col("p_size") == 7)
+    results = part.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("title"), F.when(game, "Game").otherwise("Movie").alias("kind"))
     titles = part.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("slug"), F.upper("p_name").alias("title"))
     return M.exact_unique_suggestion(results, titles)
 
 
 @query("sitemap_locate", """
 WITH s AS (SELECT DISTINCT concat('p', CAST(l_partkey AS VARCHAR), CASE WHEN l_linenumber <= 2 THEN '-switch' WHEN l_linenumber <= 4 THEN '-switch-2' WHEN l_linenumber = 5 THEN '' ELSE '-gone' END) AS product_slug
-   FROM lineitem WHERE l_quantity = 10 OR l_quantity = 20),
+   FROM lineitem),
  t AS (SELECT slug, CASE WHEN p_size = 1 THEN concat(slug, '-gone') END AS hint, hac, bee FROM v_targets),
  k AS (SELECT slug, 'audited_hint' AS located_by, hint AS product_slug FROM t WHERE hint IS NOT NULL
    UNION ALL SELECT slug, 'sitemap_slug', concat(slug, '-switch-2') FROM t WHERE hint IS NULL AND bee
@@ -207,7 +208,7 @@ def sitemap_locate(spark, d):
     line = F.col("l_linenumber")
     slug = F.concat(F.lit("p"), F.col("l_partkey").cast("string"),
                     F.when(line <= 2, "-switch").when(line <= 4, "-switch-2").when(line == 5, "").otherwise("-gone"))
-    sitemap = B.table(spark, d, "lineitem").where(F.col("l_quantity").isin(10, 20)).select(slug.alias("product_slug"))
+    sitemap = B.table(spark, d, "lineitem").select(slug.alias("product_slug"))
     sitemap = sitemap.withColumn("url", F.concat(F.lit("https://shop.example/"), "product_slug"))
     want = targets(spark, d).join(B.table(spark, d, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("slug"), "p_size"), "slug")
     want = want.withColumn("hint", F.when(F.col("p_size") == 1, F.concat("slug", F.lit("-gone"))))

@@ -1,7 +1,7 @@
 """Checked streaming queries.
 
 The derived tables are landed as files in time order under the session's
-checkpoint folder and read back as streams, a file per micro-batch; what the
+checkpoint folder and read back as streams in one trigger; what the
 stream leaves behind is compared with the batch statement of the same rule.
 """
 
