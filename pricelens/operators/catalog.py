@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
-from ..functions.ordering import group_row_number
+from ..functions.ordering import first_per_key, group_row_number
 from .changes import owner_conflicts
 
 NSUIDS = ("nsuid_americas", "nsuid_europe", "nsuid_japan")
@@ -166,9 +166,14 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
 
 
 def apply_day_one(catalog: DataFrame, candidates: DataFrame, added_at: str) -> DataFrame:
-    """Append unknown store ids under their slug, or slug-id when it is taken."""
+    """Append unknown store ids under their slug, or slug-id when it is taken.
+
+    A store id that comes more than once is appended once, under its smallest
+    slug.
+    """
     known = catalog.where(F.col("steam_app_id").isNotNull()).select("steam_app_id").distinct()
     fresh = candidates.join(known, "steam_app_id", "left_anti")
+    fresh = first_per_key(fresh, ["steam_app_id"], [F.col("slug_hint"), F.col("title")])
     first = fresh.groupBy("slug_hint").agg(F.min("steam_app_id").alias("first_id"))
     taken = _marked(catalog, "slug", "taken").withColumnRenamed("slug", "slug_hint")
     j = fresh.join(first, "slug_hint").join(taken, "slug_hint", "left")
