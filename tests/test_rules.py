@@ -268,3 +268,15 @@ def test_big_side_is_not_broadcast(spark):
     small = spark.range(10)
     assert "ResolvedHint" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in broadcast_if_small(small, limit=1)._jdf.queryExecution().analyzed().toString()
+
+
+def test_repeated_base_and_store_id_take_free_counters(spark):
+    cat = spark.createDataFrame([("doom",), ("doom-7",), ("doom-7-2",)], "slug string")
+    c = spark.createDataFrame([(i, "Doom", None, 7) for i in range(3)], "seq int, title string, year int, store_id int")
+    assert rows(CT.dedupe_slugs(c, cat).select("seq", "slug")) == [(0, "doom-7-3"), (1, "doom-7-4"), (2, "doom-7-5")]
+
+
+def test_repeated_store_id_is_appended_once(spark):
+    cat = spark.createDataFrame([("a", 1)], "slug string, steam_app_id int")
+    c = spark.createDataFrame([("b", "B", 2), ("b", "B", 2), ("a", "A", 3), ("a", "A", 1)], "slug_hint string, title string, steam_app_id int")
+    assert rows(CT.apply_day_one(cat, c, "2026-01-01").select("slug", "steam_app_id")) == [("a-3", 3), ("b", 2)]
