@@ -10,9 +10,9 @@ from .common import settle
 
 def stars(edges: DataFrame) -> bool:
     """Every larger end has one link, and no smaller end is a larger end."""
-    if edges.groupBy("a").count().where("count > 1").take(1):
-        return False
-    return not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").take(1)
+    ends = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.agg(F.max((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0))).first()[0] is not True
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,15 +36,6 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 
-def joined_roots(rooted: DataFrame, links: DataFrame) -> DataFrame:
-    """``rooted`` (node, root), of all nodes, after adding links (a, b) between nodes.
-
-    Only the roots that the links connect go through ``components``.
-    """
-    at = [rooted.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b")]
-    between = links.join(at[0], "a").join(at[1], "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b")
-    between = settle(between.distinct(), "between")
-    if between.isEmpty():
-        return rooted
-    merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
-    return settle(rooted.join(merged, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "rooted")
+def stars_of(rooted: DataFrame) -> DataFrame:
+    """The result of ``components`` as links again, to add others to it."""
+    return rooted.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -5,11 +5,11 @@ its set, rare ones first: two sets of similarity t share one among their first
 n - ceil(t n) + 1.  Lists of a shingle are skipped by blocks of set size and by
 position, which bound the overlap that is still possible.
 
-Within a list every class is first compared with one leader only.  The leader's
-answers then serve the whole list: classes linked to it are connected and need
-no more comparison among themselves, and the distances to the leader bound the
-distance of any other two (the Jaccard distance is a metric).  Only pairs that
-these answers leave open are compared.
+Lists with the same classes are one list.  Within a list every class is first
+compared with one leader only.  The leader's answers then serve the whole list:
+classes linked to it are connected and need no more comparison among themselves,
+and the distances to the leader bound the distance of any other two (the Jaccard
+distance is a metric).  Only pairs that these answers leave open are compared.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import KeyFilter, blocks, key_filter, row_key, settle
-from .components import joined_roots
+from .components import components, stars_of
 from .hashing import U, combine, join, mix, prefix, spans, words
 
 SHINGLE, PERCENT = 5, 75
@@ -150,16 +150,23 @@ def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def lists(posts: DataFrame) -> DataFrame:
-    """Postings of shingles that two classes share, each with the list's leader (its smallest class)."""
+    """(list, cls, n, pos, leader, leader_n, leader_pos): lists that two classes share, with their leader (its smallest class).
+
+    Shingles with the same classes make one list; a class's position there is
+    that of the first of them, which is the same shingle for all its classes.
+    """
     head = F.struct("cls", "n", "pos")
-    # the sketch bounds these lists
-    own = Window.partitionBy("token")
-    light = posts.where("NOT heavy").select("*", F.min(head).over(own).alias("head"), F.max("cls").over(own).alias("last"))
-    light = light.where("head.cls <> last")
-    heavy = posts.where("heavy").dropDuplicates(["token", "cls"])
-    heads = heavy.groupBy("token").agg(F.min(head).alias("head"), F.max("cls").alias("last")).where("head.cls <> last")
-    heavy = heavy.join(heads, "token").select(*light.columns)
-    return light.union(heavy).select("token", "cls", "n", "pos", F.col("head.cls").alias("leader"), F.col("head.n").alias("leader_n"), F.col("head.pos").alias("leader_pos"))
+    same = F.sum(F.xxhash64("cls").bitwiseAND((1 << 40) - 1))
+    # the sketch bounds the lists of one task; the others are spread over the tasks and summed up below
+    spread = posts.withColumn("part", F.when(F.col("heavy"), F.col("cls")).otherwise(F.lit(0).cast("long"))).repartition("token", "part").distinct()
+    own = Window.partitionBy("token", "part")
+    found = spread.select("*", F.min(head).over(own).alias("head"), F.max("cls").over(own).alias("last"), same.over(own).alias("same"))
+    found = settle(found.where("heavy OR head.cls <> last").drop("part"), "posts")
+    heavy = found.where("heavy").select("token", "cls", "n", "pos")
+    heads = heavy.groupBy("token").agg(F.min(head).alias("head"), F.max("cls").alias("last"), same.alias("same")).where("head.cls <> last")
+    named = found.where("NOT heavy").drop("heavy").unionByName(heavy.join(heads, "token"))
+    named = named.withColumn("list", F.xxhash64("head.cls", "last", "same"))
+    return named.groupBy("list", "cls", "n", F.col("head.cls").alias("leader"), F.col("head.n").alias("leader_n")).agg(F.min("pos").alias("pos"), F.min("head.pos").alias("leader_pos"))
 
 
 def possible(n: Column, pos: Column, m: Column, at: Column) -> Column:
@@ -185,11 +192,8 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return found.join(keys, ["k1", "k2"]).select("cls", "set")
 
 
-def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, common, either): sizes of intersection and union of the sets of distinct class pairs."""
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    keys = settle(wanted.join(classes, "cls").select("k1", "k2", "cls"), "wanted")
-    sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
     left, right = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
@@ -210,14 +214,12 @@ def overlaps(one: np.ndarray, rows: np.ndarray, n_rows: int, left: np.ndarray, r
     return out
 
 
-def block_links(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+def block_links(sets: DataFrame, members: DataFrame) -> DataFrame:
     """Links (a, b) that connect different roots among the members (leader, cls, root) of each leader.
 
     Members are dealt to blocks of bounded size and every two blocks meet in one
     task; a task returns a spanning set of the links between roots, not all.
     """
-    keys = settle(members.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
-    sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
     sizes = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("nb"))
     dealt = members.join(sizes, "leader").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb"))).join(sets, "cls")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb").cast("long") - 1)))
@@ -270,56 +272,50 @@ def components_of(docs: DataFrame) -> DataFrame:
     counts = sketch(survey.where("chunk IS NOT NULL"))
     classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cls", "k.k1", "k.k2")
     shared = settle(lists(postings(docs, counts)), "lists")
-    rooted = settle(shared.select(F.col("cls").alias("node"), F.col("cls").alias("root")).distinct(), "rooted")
-    met = possible(F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")) & (F.col("cls") != F.col("leader"))
+    keys = settle(shared.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
+    sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
 
-    def ask(pairs: DataFrame, name: str) -> DataFrame:
-        nonlocal rooted
-        if pairs.isEmpty():
-            return pairs.select("a", "b", F.lit(0).cast("long").alias("common"), F.lit(0).cast("long").alias("either"))
-        answers = settle(compared(docs, classes, pairs), name)
-        rooted = joined_roots(rooted, answers.where(linked()).select("a", "b"))
-        return answers
-
-    def undecided() -> DataFrame:
-        """Lists whose classes are not all connected, with each class's root."""
-        own = shared.join(rooted, F.col("cls") == F.col("node")).drop("node")
-        mixed = own.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-        return own.join(mixed, "token")
-
-    # one leader per class; then, in each list that is still undecided, its leader against all its classes
-    own = shared.where(met).groupBy("cls").agg(F.min("leader").alias("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b"))
-    first = ask(settle(own, "asked"), "answers")
-    own = undecided().where(F.col("cls") != F.col("leader")).select(F.col("cls").alias("a"), F.col("leader").alias("b"))
-    second = ask(settle(own.distinct().join(first, ["a", "b"], "left_anti"), "asked"), "answers")
-    answers = first.union(second)
-    distance = answers.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d"))
+    def undecided(own: DataFrame) -> DataFrame:
+        """Lists of ``own`` whose classes are not all connected, with each class's root."""
+        own = own.drop("root").join(rooted.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        mixed = own.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("list")
+        return own.join(mixed, "list", "left_semi")
 
-    # a leader may lie at the rim of its group: the class nearest to it is asked next, then the
-    # nearest one among those that are still apart from it
-    for apart in (False, True):
-        own = undecided().join(distance, ["cls", "leader"], "left")
-        heads = rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-        near = own.where("d IS NOT NULL").join(heads, "leader").where(F.lit(not apart) | (F.col("root") != F.col("leader_root")))
-        hubs = near.groupBy("token").agg(F.min(F.struct("d", "cls", "root")).alias("hub")).select("token", F.col("hub.cls").alias("hub"), F.col("hub.root").alias("hub_root"))
-        own = own.join(hubs, "token").where("root <> hub_root").select(F.greatest("cls", "hub").alias("a"), F.least("cls", "hub").alias("b"))
-        answers = answers.union(ask(settle(own.distinct().join(answers, ["a", "b"], "left_anti"), "asked"), "answers"))
+    # every class with the leaders of its lists
+    met = possible(F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")) & (F.col("cls") != F.col("leader"))
+    asked = shared.where(met).select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct()
+    answers = settle(compared(sets, asked), "answers")
+    rooted = components(answers.where(linked()).select("a", "b"))
+    distance = answers.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d"))
+    open_ = settle(undecided(shared).join(distance, ["cls", "leader"], "left"), "open")
+
+    # a leader may lie at the rim of its group: the class nearest to it is asked too, and the nearest
+    # one among those that are still apart from it
+    heads = rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    near = open_.where("d IS NOT NULL").join(heads, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
+    hub = F.struct("d", "cls", "n", "pos", "root")
+    hubs = near.groupBy("list").agg(F.min(hub).alias("hub"), F.min(F.when(F.col("root") != F.col("leader_root"), hub)).alias("apart"))
+    hubs = hubs.select("list", F.explode(F.array_compact(F.array_distinct(F.array("hub", "apart")))).alias("hub"))
+    asked = open_.join(hubs, "list").where("root <> hub.root").where(possible(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
+    asked = asked.select(F.greatest("cls", "hub.cls").alias("a"), F.least("cls", "hub.cls").alias("b")).distinct()
+    more = settle(compared(sets, asked.join(answers, ["a", "b"], "left_anti")), "answers")
+    answers = answers.union(more)
+    rooted = components(stars_of(rooted).union(more.where(linked()).select("a", "b")))
 
     # what these answers leave open; the distances to a list's leader bound the distance of two members
-    open_ = settle(undecided().join(distance, ["cls", "leader"], "left"), "open")
-    long_lists = open_.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIRED).select("token")
+    open_ = settle(undecided(open_), "open")
+    long_lists = open_.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIRED).select("list")
     # long lists: all members of a leader's lists against each other, block by block
-    members = settle(open_.join(long_lists, "token", "left_semi").select("leader", "cls", "root").distinct(), "members")
-    if not members.isEmpty():
-        rooted = joined_roots(rooted, settle(block_links(docs, classes, members), "found"))
+    members = settle(open_.join(long_lists, "list", "left_semi").select("leader", "cls", "root").distinct(), "members")
     # short lists: pairs; compatible sizes lie in the same or neighbouring blocks
     block = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / PERCENT)))
-    left = open_.join(long_lists, "token", "left_anti").where("cls <> leader").select("token", "cls", "n", "pos", "root", "d", block.alias("block"))
-    right = left.select("token", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "root", "d")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
+    left = open_.join(long_lists, "list", "left_anti").where("cls <> leader").select("list", "cls", "n", "pos", "root", "d", block.alias("block"))
+    right = left.select("list", *[F.col(c).alias(f"{c}_") for c in ("cls", "n", "pos", "root", "d")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
     gap = F.coalesce(F.abs(F.col("d") - F.col("d_")), F.lit(0.0))
-    pairs = left.join(right, ["token", "block"]).where("cls < cls_ AND root <> root_").where(possible(F.col("n"), F.col("pos"), F.col("n_"), F.col("pos_")))
+    pairs = left.join(right, ["list", "block"]).where("cls < cls_ AND root <> root_").where(possible(F.col("n"), F.col("pos"), F.col("n_"), F.col("pos_")))
     pairs = pairs.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("cls_").alias("a"), F.col("cls").alias("b")).distinct()
-    ask(settle(pairs.join(answers, ["a", "b"], "left_anti"), "pairs"), "answers")
+    short = compared(sets, pairs.join(answers, ["a", "b"], "left_anti")).where(linked()).select("a", "b")
+    rooted = components(stars_of(rooted).union(short).union(block_links(sets, members)))
     out = rows.join(rooted, F.col("cls") == F.col("node"), "left")
     some = F.col("n") > 0
     return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(some, F.col("cls")).alias("cls"), F.when(some, F.coalesce("root", "cls")).alias("root"))
