@@ -50,8 +50,11 @@ def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray,
     first = np.cumsum(count) - count
     own = np.array([combine(word[first[i]: first[i] + count[i]], int(count[i]))[0] ^ U(count[i]) for i in short], dtype=U)
     owner, hashes = np.concatenate([owner, short]), np.concatenate([hashes, own])
-    order = np.lexsort((hashes, owner))
+    order = np.argsort(owner, kind="stable")
     owner, hashes = owner[order], hashes[order]
+    at = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for low, high in zip(at[:-1], at[1:]):
+        hashes[low:high].sort()
     new = np.ones(len(owner), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
     owner, hashes = owner[new], hashes[new]
@@ -119,7 +122,7 @@ def sketch(parts: DataFrame) -> np.ndarray:
         if n_tasks == 1:
             break
     out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # at most 2^22 counters, compressed
         out[row.chunk << CHUNK_BITS: (row.chunk + 1) << CHUNK_BITS] = np.frombuffer(zlib.decompress(bytes(row.counts)), dtype=np.int64)
     return np.minimum(out, 2**32 - 1).astype(np.uint32)
 
@@ -138,7 +141,8 @@ def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             use[one] = True
             owner = np.repeat(np.arange(len(n)), n)
             count = shared.value[(hashes >> U(64 - SKETCH_BITS)).astype(np.int64)]
-            order = np.lexsort((hashes, count, owner))
+            # hashes of a set are in order, so a stable sort leaves equal counts in it
+            order = np.argsort(owner.astype(U) << U(32) | count, kind="stable")
             pos = np.arange(len(hashes)) - at[owner]
             keep = (pos < (n - -(-PERCENT * n // 100) + 1)[owner]) & use[owner]
             h, o = hashes[order][keep], owner[keep]
