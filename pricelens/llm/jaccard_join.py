@@ -295,10 +295,9 @@ def components_of(docs: DataFrame) -> DataFrame:
 
     # a leader may lie at the rim of its group: the class nearest to it is asked too, and the nearest
     # one among those that are still apart from it
-    heads = rooted.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    near = open_.where("d IS NOT NULL").join(heads, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-    hub = F.struct("d", "cls", "n", "pos", "root")
-    hubs = near.groupBy("list").agg(F.min(hub).alias("hub"), F.min(F.when(F.col("root") != F.col("leader_root"), hub)).alias("apart"))
+    hub = F.when(F.col("d").isNotNull(), F.struct("d", "cls", "n", "pos", "root"))
+    hubs = open_.groupBy("list", "root").agg(F.min(hub).alias("hub"), F.max(F.col("cls") == F.col("leader")).alias("own"))
+    hubs = hubs.groupBy("list").agg(F.min("hub").alias("hub"), F.min(F.when(~F.col("own"), F.col("hub"))).alias("apart"))
     hubs = hubs.select("list", F.explode(F.array_compact(F.array_distinct(F.array("hub", "apart")))).alias("hub"))
     asked = open_.join(hubs, "list").where("root <> hub.root").where(possible(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
     asked = asked.select(F.greatest("cls", "hub.cls").alias("a"), F.least("cls", "hub.cls").alias("b")).distinct()
