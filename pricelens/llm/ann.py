@@ -3,9 +3,12 @@
 Centroids of a bounded sample cut the vectors into lists.  A vector near a
 boundary is replicated to further lists, unless one already chosen lies between.
 A query walks a graph over the centroids in memory and reads the lists whose
-centroids are not much farther than its nearest.  Lists are dealt out in pieces
-of bounded size on both sides, so copies of one vector make many pieces and no
-large group.  Distances of all members of the chosen lists are exact.
+centroids are not much farther than its nearest.  How many lists that takes is
+measured: a sample of the queries is compared with the whole table, and the
+reach is set so that the lists read hold ``TARGET`` of the true neighbours.
+Lists are dealt out in pieces of bounded size on both sides, so copies of one
+vector make many pieces and no large group.  Distances of all members of the
+chosen lists are exact.
 """
 
 from __future__ import annotations
@@ -22,10 +25,13 @@ from .common import fitted, settle
 
 #: Vectors used to fit the centroids, vectors for each list, and most lists.
 SAMPLE, PER_LIST, MOST_LISTS = 20_000, 200, 4096
-#: A vector goes to at most ``REPLICAS`` lists within (1 + ``CLOSE``) of its nearest centroid.
-REPLICAS, CLOSE = 4, 0.1
-#: A query keeps ``BEAM`` centroids and reads lists within ``RATIO`` of the nearest one.
+#: A vector goes to at most ``REPLICAS`` lists: those where the plane halfway to the nearest
+#: centroid is within ``CLOSE`` halves of the way between the two.
+REPLICAS, CLOSE = 4, 0.2
+#: A query keeps at least ``BEAM`` centroids and reads at least the lists within ``RATIO`` of the nearest one.
 BEAM, RATIO, DEGREE = 96, 1.6, 24
+#: Queries compared with the whole table, and the share of their true neighbours in the lists read.
+TRIALS, TARGET = 200, 0.95
 #: Members and queries that a group holds on average at most.
 PIECE = 4096
 
@@ -68,9 +74,16 @@ def graph_of(c: np.ndarray, degree: int = DEGREE) -> np.ndarray:
 
 
 def walk(q: np.ndarray, c: np.ndarray, links: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first search for a block of queries: nearest centroids found and squared distances, in order."""
+    """Best-first search for a block of queries: nearest centroids found and squared distances, in order.
+
+    Where the search would follow as many links as there are centroids, all are ranked instead.
+    """
     n, k = len(q), len(c)
     beam = min(beam, k)
+    if beam * links.shape[1] >= k:
+        dist = squared(q, c)
+        ids = np.argsort(dist, axis=1, kind="stable")[:, :beam]
+        return ids, np.take_along_axis(dist, ids, 1)
     row = np.arange(n)[:, None]
     starts = np.unique(np.linspace(0, k - 1, min(k, 8)).astype(np.int64))
     ids = np.broadcast_to(starts, (n, len(starts))).copy()
@@ -99,6 +112,34 @@ def walk(q: np.ndarray, c: np.ndarray, links: np.ndarray, beam: int = BEAM) -> t
     return ids, dist
 
 
+def lists_of(d: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest lists of vectors from their squared distances ``d`` to the centroids, and which of them hold the vector.
+
+    For two centroids the difference of the squared distances over the squared
+    gap is 0 on the plane halfway and 1 at the nearer centroid, whatever lies
+    across; so it is measured against the gap and not against the distance.
+    """
+    order = np.argsort(d, axis=1)[:, : 4 * REPLICAS]
+    close = np.take_along_axis(d, order, 1)
+    chosen = np.zeros(order.shape, dtype=bool)
+    chosen[:, 0] = True
+    for j in range(1, order.shape[1]):
+        gap = between[order[:, 0], order[:, j]]
+        shadowed = (chosen[:, 1:j] & (between[order[:, 1:j], order[:, j: j + 1]] < gap[:, None])).any(1)
+        chosen[:, j] = (close[:, j] - close[:, 0] <= CLOSE * gap) & ~shadowed & (chosen[:, :j].sum(1) < REPLICAS)
+    return order, chosen
+
+
+def reach(places: np.ndarray, margins: np.ndarray, target: float = TARGET) -> tuple[int, float]:
+    """Lists to keep and squared distance beyond the nearest centroid's to read, from the place
+    and margin of the first list that holds each true neighbour.  Each bound may lose half of what
+    the target allows, so both together keep the target on the sample."""
+    if not len(places):
+        return 0, 0.0
+    last = min(len(places) - 1, int(np.ceil((1 + target) / 2 * len(places))) - 1)
+    return int(np.sort(places)[last]) + 1, float(np.sort(margins)[last])
+
+
 def vectors(column: pa.ListArray) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
@@ -113,6 +154,42 @@ def usable(df: DataFrame, ident: str, vector: str) -> DataFrame:
     return rows.where(F.size("v") == (common.n if common else 0))
 
 
+def trial(rows: DataFrame, queries: DataFrame, postings: DataFrame, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place among a query's centroids and margin of the first list that holds a true neighbour, for all
+    neighbours of at most ``TRIALS`` queries.  One pass over the table, compared with the sample in memory."""
+    spark = rows.sparkSession
+    some = queries.orderBy(F.xxhash64("id"), "id").limit(TRIALS).collect()
+    if not some:
+        return np.zeros(0, np.int64), np.zeros(0)
+    q = np.array([r.v for r in some], dtype=np.float64)
+    shared = spark.sparkContext.broadcast((np.array([r.id for r in some]), q))
+
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, q = shared.value
+        at = np.arange(len(q))[:, None]
+        ids, best = np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0))
+        for batch in batches:
+            for start in range(0, len(batch), 4096):
+                part = batch.slice(start, 4096)
+                new, first = np.unique(part.column("id").to_numpy(), return_index=True)
+                d = squared(q, vectors(part.column("v"))[first])
+                d[own[:, None] == new[None]] = np.inf
+                ids, best = np.concatenate([ids, np.broadcast_to(new, d.shape)], 1), np.concatenate([best, d], 1)
+                top = np.argsort(best, axis=1, kind="stable")[:, :k]
+                ids, best = ids[at, top], best[at, top]
+        i, j = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(ids[i, j]), pa.array(best[i, j])], ["q", "id", "d"])
+
+    found = rows.mapInArrow(closest, "q long, id long, d double").groupBy("q", "id").agg(F.min("d").alias("d"))
+    true = first_per_key(found, ["q"], [F.col("d"), F.col("id")], k).select("q", "id")
+    # at most TRIALS * k pairs
+    held = postings.select("list", "id").join(F.broadcast(true), "id").groupBy("q", "id").agg(F.collect_set("list").alias("lists")).collect()
+    d = squared(q, c)
+    order = np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1, kind="stable")
+    places = np.array([order[r.q, r.lists].min() for r in held], dtype=np.int64)
+    return places, np.array([d[r.q, r.lists].min() - d[r.q].min() for r in held])
+
+
 def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The ``k`` nearest found for every query row: query_id, rank, vec_id, score.
 
@@ -121,7 +198,8 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
     that share the query's id are its own.  Rows with a null id, or a vector
     that is null, zero, holds a null or non-finite component or has not the
     commonest length take no part.  Every query gets ``k`` rows, or all
-    candidates if fewer.  Repeated rows of one id count once.  Other columns are
+    candidates if fewer.  Where there are more than ``BEAM`` lists, the reach is
+    set by a sample of the queries (see ``trial``).  Repeated rows of one id count once.  Other columns are
     ignored; an empty table gives no rows.
     """
     spark = df.sparkSession
@@ -147,13 +225,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
             for start in range(0, len(batch), 1024):
                 part = batch.slice(start, 1024)
                 d = squared(vectors(part.column("v")), c)
-                order = np.argsort(d, axis=1)[:, : 4 * REPLICAS]
-                close = np.take_along_axis(d, order, 1)
-                chosen = np.zeros(order.shape, dtype=bool)
-                chosen[:, 0] = True
-                for j in range(1, order.shape[1]):
-                    shadowed = (chosen[:, :j] & (between[order[:, :j], order[:, j: j + 1]] < close[:, j: j + 1])).any(1)
-                    chosen[:, j] = (close[:, j] <= (1 + CLOSE) ** 2 * close[:, 0]) & ~shadowed & (chosen[:, :j].sum(1) < REPLICAS)
+                order, chosen = lists_of(d, between)
                 i, j = np.nonzero(chosen)
                 at = pa.array(i)
                 yield pa.RecordBatch.from_arrays([pa.array(order[i, j]), pa.array(j == 0), part.column("id").take(at), part.column("v").take(at)], ["list", "own", "id", "v"])
@@ -165,16 +237,20 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
     members = np.array([sizes.get(i, (0, 0))[0] for i in range(len(c))])
     own = np.array([sizes.get(i, (0, 0))[1] for i in range(len(c))])
 
+    queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
+    width, margin = reach(*trial(rows, queries, postings, c, k)) if len(c) > BEAM else (0, 0.0)
+    width = max(BEAM, width)
+
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, links, _ = shared.value
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.slice(start, 256)
                 q = vectors(part.column("v"))
-                ids, dist = walk(q, c, links)
+                ids, dist = walk(q, c, links, width)
                 # lists are read until k + 1 vectors have their own list among them, whatever the ratio says
                 before = np.cumsum(own[ids], axis=1) - own[ids]
-                read = (dist <= RATIO**2 * dist[:, :1]) | (before <= k)
+                read = (dist <= RATIO**2 * dist[:, :1]) | (dist - dist[:, :1] <= margin) | (before <= k)
                 short = np.flatnonzero(own[ids].sum(1) <= k)
                 i, j = np.nonzero(read)
                 keep = ~np.isin(i, short)
@@ -183,7 +259,6 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
                 at = pa.array(i)
                 yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int64)), part.column("id").take(at), part.column("v").take(at)], ["list", "id", "v"])
 
-    queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
     asked = settle(queries.mapInArrow(routed, f"list long, id long, v {element}"), "asked")
     wanted = {r.list: r.n for r in asked.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = spark.createDataFrame([(i, int(-(-m // PIECE)), -(-wanted.get(i, 0) // PIECE)) for i, m in enumerate(members.tolist()) if m and wanted.get(i)],

@@ -8,6 +8,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from pricelens.llm import ann, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, repeats, toxicity, url_filter
@@ -262,6 +264,40 @@ def test_nearest_against_brute_force(spark):
     assert ann.nearest(df.limit(0), lambda i: i % 100 == 0).count() == 0
 
 
+def test_nearest_over_several_hundred_lists(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ann, "PER_LIST", 50)
+    x = np.random.default_rng(4).normal(size=(30_000, 48)).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
+    pq.write_table(table, tmp_path / "v.parquet")
+    got = defaultdict(set)
+    for r in ann.nearest(spark.read.parquet(str(tmp_path)), lambda i: i % 100 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    y = x.astype(float)
+    hits = 0
+    for q in range(0, len(y), 100):
+        d = ((y[q] - y) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.argsort(d)[:10].tolist()))
+    assert len(got) == 300 and hits >= 0.9 * 10 * len(got), hits
+
+
+def test_boundary_vectors_are_replicated():
+    rng = np.random.default_rng(6)
+    c = rng.normal(size=(40, 64)) * 0.1  # centroids lie close together, vectors far off
+    a, b = c[0], c[1 + np.argmin(ann.squared(c[:1], c[1:]))]
+    off = rng.normal(size=64)
+    off -= (off @ (b - a)) / ((b - a) @ (b - a)) * (b - a)
+    d = ann.squared(np.array([(a + b) / 2 + 0.01 * off, a + 0.01 * off]), np.array([a, b]))
+    assert ann.lists_of(d + [[0.5], [0.5]], ann.squared(np.array([a, b]), np.array([a, b])))[1].sum(1).tolist() == [2, 1]
+
+
+def test_reach_keeps_the_target():
+    rng = np.random.default_rng(7)
+    places, margins = rng.integers(0, 500, 2000), rng.random(2000)
+    width, margin = ann.reach(places, margins)
+    assert ann.TARGET <= ((places < width) & (margins <= margin)).mean() and width < 500 and ann.reach(places[:0], margins[:0]) == (0, 0.0)
+
+
 def labelled(spark, bad_text):
     rng = random.Random(5)
     rows, labels = [], []
