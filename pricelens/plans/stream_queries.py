@@ -1,14 +1,15 @@
 """Checked streaming queries.
 
 The derived tables are landed as files in time order under the session's
-checkpoint folder and read back as streams in one trigger; what the
-stream leaves behind is compared with the batch statement of the same rule.
+checkpoint folder and read back as streams, the price streams with a trigger
+after every span; what the stream leaves behind is compared with the batch
+statement of the same rule.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +26,21 @@ def workspace(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
-def landed(df: DataFrame, time: str, cuts: Sequence[str], path: str) -> DataFrame:
+def landed(df: DataFrame, time: str, cuts: Sequence[str], path: str, run: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Land a table in time order and open it as a stream.
 
-    All that is landed is read in one trigger, so the number of files cannot split a span.
+    With ``run``, the stream is run to its end after every span, from the same
+    checkpoint, and the last result is returned.  So the number of files cannot
+    split a span.  Without, all that is landed is left to one trigger.
     """
     edges = ["0001-01-01", *cuts, "9999-01-01"]
+    out = None
     for lo, hi in zip(edges, edges[1:]):
         span = (F.col(time) >= F.lit(lo).cast("timestamp")) & (F.col(time) < F.lit(hi).cast("timestamp"))
         df.where(span).write.mode("append").parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+        if run is not None:
+            out = run(df.sparkSession.readStream.schema(df.schema).parquet(path))
+    return df.sparkSession.readStream.schema(df.schema).parquet(path) if run is None else out
 
 
 def finish(stream: DataFrame, home: str, sink: str) -> DataFrame:
@@ -55,6 +61,15 @@ def finish(stream: DataFrame, home: str, sink: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{home}/{sink}")
 
 
+def finish_steps(stream: DataFrame, step, home: str, sink: str) -> DataFrame:
+    """Run a ``foreachBatch`` function over everything landed and read what its batches wrote."""
+    table = VersionedTable(stream.sparkSession, f"{home}/{sink}-state")
+    q = stream.writeStream.foreachBatch(step(table, f"{home}/{sink}")).option(
+        "checkpointLocation", f"{home}/{sink}-checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.parquet(f"{home}/{sink}").drop("v")
+
+
 def finish_table(stream: DataFrame, home: str, sink: str, mode: str) -> DataFrame:
     """Run a complete-mode stream and keep its newest result table."""
     table = VersionedTable(stream.sparkSession, f"{home}/{sink}")
@@ -67,15 +82,15 @@ def finish_table(stream: DataFrame, home: str, sink: str, mode: str) -> DataFram
 CUTS = ("1997-01-01", "1999-06-01")
 
 
-def daily_stream(spark, d, home):
+def daily_stream(spark, d, home, run=None):
     daily = B.daily(spark, d).withColumn("observed_at", F.col("d").cast("timestamp"))
-    return landed(daily, "observed_at", CUTS, f"{home}/daily")
+    return landed(daily, "observed_at", CUTS, f"{home}/daily", run)
 
 
 @query("stream_change_events", "SELECT slug, channel, d, usd, pct, 'event' AS kind FROM v_events")
 def stream_change_events(spark, d):
     home = workspace(spark)
-    return finish(SP.stream_change_events(daily_stream(spark, d, home)), home, "events")
+    return daily_stream(spark, d, home, lambda s: finish_steps(s, SP.change_events_step, home, "events"))
 
 
 @query("stream_atl", "SELECT slug, atl_key, usd, date FROM v_atl")
@@ -90,8 +105,8 @@ def dedupe_observations(spark, d):
     home = workspace(spark)
     daily = B.daily(spark, d).withColumn("observed_at", F.col("d").cast("timestamp"))
     twice = daily.unionByName(daily.withColumn("observed_at", F.col("observed_at") + F.expr("INTERVAL 6 HOURS")))
-    stream = landed(twice, "observed_at", CUTS, f"{home}/twice")
-    return finish(SP.dedupe_observations(stream).select("slug", "channel", "d", "usd"), home, "once")
+    return landed(twice, "observed_at", CUTS, f"{home}/twice",
+                  lambda s: finish(SP.dedupe_observations(s).select("slug", "channel", "d", "usd"), home, "once"))
 
 
 view("v_shown", """
@@ -108,7 +123,7 @@ def deal_expiry(spark, d):
     rows = B.prices_usd(spark, d).where(F.col("cc") == "US").select(
         "slug", "channel", F.col("d").cast("timestamp").alias("observed_at"), "usd", "list_usd", "discount_pct",
         F.try_to_timestamp(F.col("sale_ends_at")).alias("sale_ends_at"))
-    return finish(SP.deal_expiry(landed(rows, "observed_at", CUTS, f"{home}/prices")), home, "shown")
+    return landed(rows, "observed_at", CUTS, f"{home}/prices", lambda s: finish_steps(s, SP.deal_expiry_step, home, "shown"))
 
 
 def kept_ledger(spark, d):

@@ -12,12 +12,15 @@ from datetime import date
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import expr as X
+from ..functions.ordering import first_per_key
+from ..operators.history import KEY
+from .state_table import VersionedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -27,8 +30,14 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def dedupe_observations(obs: DataFrame, delay: str = "2 days") -> DataFrame:
-    """A rerun of one day adds nothing; keys are forgotten after the delay."""
+def dedupe_observations(obs: DataFrame, delay: str | None = None) -> DataFrame:
+    """A rerun of one day adds nothing, in whatever order files arrive.
+
+    The state holds one key per row passed on.  A ``delay`` bounds it: keys are
+    then forgotten, and rows that come later than the delay are lost.
+    """
+    if delay is None:
+        return obs.dropDuplicates(["slug", "channel", "d"])
     return obs.withWatermark("observed_at", delay).dropDuplicatesWithinWatermark(["slug", "channel", "d"])
 
 
@@ -82,6 +91,32 @@ def stream_change_events(obs: DataFrame) -> DataFrame:
     )
 
 
+def change_events_step(last: VersionedTable, out: str):
+    """``foreachBatch`` function: change events and late rows of a batch, written under ``out``.
+
+    ``last`` keeps the newest day of every key and nothing else; the events of
+    a batch are those of its rows behind that day.  Rules as ``ChangeEvents``.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        cols = ("d", "usd", "pct")
+        rows = batch.select(*KEY, *cols, F.lit(True).alias("__new"))
+        held = last.before(batch_id)
+        if held is not None:
+            rows = rows.join(held.select(*KEY, F.col("d").alias("__seen")), list(KEY), "left")
+            rows = rows.withColumn("__late", F.coalesce(F.col("d") < F.col("__seen"), F.lit(False))).drop("__seen")
+            rows = rows.unionByName(held.select(*KEY, *cols, F.lit(False).alias("__new"), F.lit(False).alias("__late")))
+        else:
+            rows = rows.withColumn("__late", F.lit(False))
+        prev = F.lag(F.struct("usd", "pct")).over(Window.partitionBy(*KEY, "__late").orderBy("d", "__new"))
+        changed = F.col("__prev").isNull() | ~F.struct("usd", "pct").eqNullSafe(F.col("__prev"))
+        kind = F.when(F.col("__late"), "late").otherwise("event").alias("kind")
+        told = rows.withColumn("__prev", prev).where(F.col("__new") & (F.col("__late") | changed)).select(*KEY, *cols, kind)
+        told.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        last.write(first_per_key(rows.where(~F.col("__late")), KEY, [F.desc("d"), F.desc("__new")]).select(*KEY, *cols), batch_id)
+
+    return step
+
+
 def stream_atl(obs: DataFrame) -> DataFrame:
     """Running low per game and store with its first day; update mode."""
     low = obs.groupBy("slug", "channel").agg(F.min(F.struct("usd", "d")).alias("b"))
@@ -142,9 +177,40 @@ class DealExpiry(StatefulProcessor):
 def deal_expiry(obs: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """Shown price changes of every game and store.  ``obs`` holds slug,
     channel, observed_at, usd, list_usd, discount_pct and sale_ends_at, the
-    last as a timestamp (null for an open end)."""
+    last as a timestamp (null for an open end).
+
+    Rows that come later than the delay are lost, also the first of a key;
+    ``deal_expiry_step`` loses none.
+    """
     cols = ("slug", "channel", "observed_at", "usd", "list_usd", "discount_pct", "sale_ends_at")
     return (
         obs.withWatermark("observed_at", delay).select(*cols).groupBy("slug", "channel")
         .transformWithStateInPandas(DealExpiry(), SHOWN, "Append", "eventTime")
     )
+
+
+def deal_expiry_step(deals: VersionedTable, out: str):
+    """``foreachBatch`` function: shown price changes of a batch, written under ``out``.
+
+    ``deals`` keeps the newest observation of every key; its newest time is the
+    clock.  Only an observation older than its own key's moves nothing, so a key
+    may be first seen however late.  Rules as ``DealExpiry``.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        cols = (*KEY, "observed_at", "usd", "list_usd", "discount_pct", "sale_ends_at")
+        open_end = F.col("sale_ends_at").isNotNull() & F.col("discount_pct").isNotNull()
+        rows = batch.select(*cols, F.lit(True).alias("fresh"), open_end.alias("due"))
+        held = deals.before(batch_id)
+        if held is not None:
+            rows = rows.unionByName(held.select(*cols, F.lit(False).alias("fresh"), (F.col("due") & ~F.col("ended")).alias("due")))
+        now = first_per_key(rows, KEY, [F.desc("observed_at"), F.desc("fresh")])
+        clock = F.broadcast(rows.agg(F.max("observed_at").alias("clock")))  # one row
+        ended = F.col("due") & F.coalesce(F.col("sale_ends_at") <= F.col("clock"), F.lit(False))
+        deals.write(now.crossJoin(clock).withColumn("ended", ended).drop("clock"), batch_id)
+        kept = deals.current()
+        shown = kept.where("fresh").select(*KEY, "usd", "discount_pct", F.lit("observed").alias("reason"))
+        reason = F.when(F.col("list_usd").isNotNull(), "sale_ended").otherwise("withdrawn")
+        back = kept.where("ended").select(*KEY, F.col("list_usd").alias("usd"), F.lit(None).cast("int").alias("discount_pct"), reason.alias("reason"))
+        shown.unionByName(back).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+
+    return step

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricelens.operators import health as H
 from pricelens.operators import history as HI
 from pricelens.plans import bindings as B
+from pricelens.plans import stream_queries as SQ
 from pricelens.streaming import health as SH
 from pricelens.streaming import prices as SP
 from pricelens.streaming.state_table import VersionedTable
@@ -117,3 +118,65 @@ def test_requests_per_day_equals_batch(spark, tmp_path):
     log.write.parquet(path)
     out = run(SH.stream_requests_per_day(spark.readStream.schema(log.schema).parquet(path), 3), "t_quota", tmp_path, "update")
     assert rows(out) == rows(H.requests_per_day(log, 3).drop("last_request"))
+
+
+@pytest.fixture
+def many_files(spark):
+    """200 shuffle partitions that stay apart, so that a span is landed as many files."""
+    conf = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def batches(home):
+    return sum(f.name.isdigit() for f in home.glob("*-checkpoint/commits/*"))
+
+
+@pytest.mark.parametrize("name", ["deal_expiry", "stream_change_events", "dedupe_observations"])
+def test_queries_cross_triggers_with_many_files(spark, many_files, tmp_path, monkeypatch, name):
+    daily = B.daily(spark, SF)
+    monkeypatch.setattr(SQ, "workspace", lambda spark: str(tmp_path))
+    got = getattr(SQ, name)(spark, SF)
+    if name == "deal_expiry":
+        got, want = got.where("reason = 'observed'").drop("reason"), B.prices_usd(spark, SF).where("cc = 'US'").select("slug", "channel", "usd", "discount_pct")
+    elif name == "stream_change_events":
+        want = HI.change_events(daily).withColumn("kind", F.lit("event"))
+    else:
+        want = daily.select("slug", "channel", "d", "usd")
+    assert rows(got) == rows(want)
+    assert batches(tmp_path) >= 3
+
+
+def test_dedupe_keeps_days_that_arrive_late(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for day in ("2026-07-20", "2026-07-01", "2026-07-10", "2026-07-01"):
+        write(spark, path, [("g", "steam", ts(day).date(), 30.0, None, ts(day))], OBS)
+    stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).parquet(path)
+    assert run(SP.dedupe_observations(stream), "t_dedupe_late", tmp_path).count() == 3
+
+
+def test_change_event_steps_equal_the_processor(spark, tmp_path):
+    SP.use_state_store(spark)
+    path = str(tmp_path / "in")
+    for part in ([("03", 30.0, None), ("04", 30.0, 5)], [("01", 10.0, None), ("04", 20.0, 5), ("06", 20.0, 5)], [("07", 20.0, 5), ("08", 1.0, None)]):
+        write(spark, path, [("g", "steam", ts(f"2026-07-{d}").date(), usd, pct, ts(f"2026-07-{d}")) for d, usd, pct in part], OBS)
+    stream = spark.readStream.schema(OBS).option("maxFilesPerTrigger", 1).parquet(path)
+    want = rows(run(SP.stream_change_events(stream), "t_steps", tmp_path).select("d", "usd", "pct", "kind"))
+    got = SQ.finish_steps(stream, SP.change_events_step, str(tmp_path), "e")
+    assert rows(got.select("d", "usd", "pct", "kind")) == want and len(want) == 5
+
+
+def test_deal_steps_show_a_game_first_seen_late(spark, tmp_path):
+    ddl = "slug string, channel string, observed_at timestamp, usd double, list_usd double, discount_pct int, sale_ends_at timestamp"
+    path = str(tmp_path / "in")
+    write(spark, path, [("other", "xbox", ts("2026-07-09"), 10.0, None, None, None), ("open", "xbox", ts("2026-07-09"), 5.0, 9.0, 44, ts("2026-07-11"))], ddl)
+    write(spark, path, [("g", "xbox", ts("2026-07-01"), 30.0, 60.0, 50, ts("2026-07-05"))], ddl)
+    write(spark, path, [("g", "xbox", ts("2026-06-01"), 1.0, None, None, None), ("other", "xbox", ts("2026-07-12"), 10.0, None, None, None)], ddl)
+    stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(path)
+    out = SQ.finish_steps(stream, SP.deal_expiry_step, str(tmp_path), "shown").where("slug <> 'other'")
+    assert rows(out.select("slug", "usd", "discount_pct", "reason")) == sorted(
+        [("g", 30.0, 50, "observed"), ("g", 60.0, None, "sale_ended"), ("open", 5.0, 44, "observed"), ("open", 9.0, None, "sale_ended")], key=repr)
