@@ -9,6 +9,7 @@ from ..functions.text import norm_title
 from ..operators import calendar as CAL
 from ..operators import quality as Q
 from . import bindings as B
+from .calendar_queries import merge_sql
 from .change_queries import current, previous
 from .history_queries import events, lows, seeds
 from .registry import query, view
@@ -387,3 +388,13 @@ def check_pages(spark, d):
 def calendar_gate(spark, d):
     merged = CAL.merge_calendar(B.releases(spark, d).where(F.col("image").isNotNull())).withColumn("entry_id", F.col("seq"))
     return Q.gate(Q.check_calendar(merged)).select("passed", "errors")
+
+
+@query("calendar_gate_all", f"""
+SELECT images >= entries * 0.8::DOUBLE AS passed, CAST(CASE WHEN images >= entries * 0.8::DOUBLE THEN 0 ELSE 1 END AS BIGINT) AS errors
+FROM (SELECT count(*) AS entries, count(image) AS images FROM ({merge_sql("v_releases")}) y) x
+""")
+def calendar_gate_all(spark, d):
+    """The gate over every release, also those without an image."""
+    merged = CAL.merge_calendar(B.releases(spark, d)).withColumn("entry_id", F.col("seq"))
+    return Q.gate(Q.check_calendar(merged)).select("passed", "errors")

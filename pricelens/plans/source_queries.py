@@ -108,7 +108,7 @@ SELECT slug, '9N' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS big_id, floor(
 FROM (SELECT concat('p', CAST(p_partkey AS VARCHAR)) AS slug, * FROM part) x WHERE p_type = 'PROMO' AND p_size <> 47 AND p_size NOT IN (1, 2, 3, 4, 5, 6, 7)
 """)
 def xbox_prices(spark, d):
-    p, s = B.table(spark, d, "part").where(F.col("p_type") == "PROMO"), F.col("p_size")
+    p, s = B.table(spark, d, "part"), F.col("p_size")
     conditions = F.struct(
         F.lit("2001-01-01T00:00:00Z").alias("StartDate"), F.when(s == 1, "2001-02-01T00:00:00Z").otherwise("9998-12-30T00:00:00Z").alias("EndDate"),
         F.array(F.when(s == 2, "2").otherwise("1")).alias("ResourceSetIds"),
@@ -121,7 +121,7 @@ def xbox_prices(spark, d):
     big = F.concat(F.when(s == 47, "x").otherwise("9"), F.lit("N"), F.lpad(F.col("p_partkey").cast("string"), 10, "0"))
     product = F.struct(big.alias("ProductId"), F.when(s == 7, "Movie").otherwise("Game").alias("ProductKind"), F.array(F.struct(F.upper("p_name").alias("ProductTitle"))).alias("LocalizedProperties"),
                        F.array(F.struct(sku.alias("Sku"), F.array(av, av).alias("Availabilities"))).alias("DisplaySkuAvailabilities"))
-    raw = p.where(s != 47).select(F.to_json(F.struct(F.array(product).alias("Products"))).alias("body"))
+    raw = p.select(F.to_json(F.struct(F.array(product).alias("Products"))).alias("body"))
     return ST.xbox_prices(raw, B.catalog(spark, d), B.AS_OF).select("slug", "big_id", "amount", "list_amount")
 
 

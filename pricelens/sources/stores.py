@@ -155,9 +155,10 @@ def xbox_prices(raw: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     """The one public offer of every mapped standard edition.
 
     Products are matched on id and title; all current public offers of a
-    product must be the same one, otherwise it has no price.
+    product must be the same one, otherwise it has no price.  A catalog id that
+    is not twelve capitals or digits maps nothing.
     """
-    mapped = catalog.where(F.col("xbox_big_id").isNotNull()).select(
+    mapped = catalog.where(F.col("xbox_big_id").rlike(r"^[A-Z0-9]{12}\z")).select(
         F.upper("xbox_big_id").alias("big_id"), "slug", T.norm_title("title").alias("want"))
     docs = raw.select(L.once(F.from_json("body", DISPLAY)).alias("doc"))
     products = docs.select(F.explode("doc.Products").alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")

@@ -280,3 +280,14 @@ def test_repeated_store_id_is_appended_once(spark):
     cat = spark.createDataFrame([("a", 1)], "slug string, steam_app_id int")
     c = spark.createDataFrame([("b", "B", 2), ("b", "B", 2), ("a", "A", 3), ("a", "A", 1)], "slug_hint string, title string, steam_app_id int")
     assert rows(CT.apply_day_one(cat, c, "2026-01-01").select("slug", "steam_app_id")) == [("a-3", 3), ("b", 2)]
+
+
+def test_xbox_query_parses_every_part_and_no_malformed_id(spark, monkeypatch):
+    from pricelens.plans import bindings as B
+    from pricelens.plans import source_queries as SQ
+
+    sf, seen, parse = "/root/testdata/sf0.001", {}, SQ.ST.xbox_prices
+    monkeypatch.setattr(SQ.ST, "xbox_prices", lambda raw, catalog, as_of: seen.update(raw=raw) or parse(raw, catalog, as_of))
+    got = SQ.xbox_prices(spark, sf)
+    assert seen["raw"].count() == B.table(spark, sf, "part").count()
+    assert got.where("NOT big_id LIKE '9N%'").count() == 0 and got.count() > 0
