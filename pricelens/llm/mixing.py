@@ -20,7 +20,7 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 ROUNDS = 2
 #: Rows a bucket of a running sum holds on average.
-BUCKET = 20_000
+BUCKET = 4_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -28,15 +28,17 @@ def sized(docs: DataFrame, seed: str) -> DataFrame:
     """doc_id, source, size in words and the shuffle key; one row per input row."""
     text_size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORDS)), F.lit(0)).cast("long")
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed)).cast("binary"))
-    return docs.select("doc_id", "source", text_size.alias("size"), key.alias("h"), *row_key("doc_id", "text", "source"))
+    return docs.select("doc_id", "source", text_size.alias("size"), key.alias("h"), *row_key(*docs.columns))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, rounds: int = ROUNDS) -> DataFrame:
     """source, rank, source_size, n_rows, target, budget: one row per source.
 
     Sources by code point, null last, weigh ``weights`` in turn.  With the
-    common level L a source gets min(weight * L, rounds * size): in order of
-    size over weight, L is found at the first source that is not filled.
+    common level L a source gets min(weight * L, rounds * size).  In order of
+    size over weight, L is found at the first source that is not filled: its own
+    share of what the filled ones before it leave.  Behind it the same formula
+    gives ever lower values, so the first is the largest of those that fit.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -51,7 +53,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
         (F.sum("source_size").over(everything) * F.lit(float(budget))).alias("budget"))
     level = (F.col("budget") - F.coalesce(F.col("full"), F.lit(0))) / F.col("open")
     reached = filled.withColumn("level", F.when(level <= F.col("cap") / F.col("w"), level))
-    reached = reached.withColumn("level", F.min("level").over(everything))
+    reached = reached.withColumn("level", F.max("level").over(everything))
     cap = F.col("cap").cast("double")
     return reached.select("source", "rank", "source_size", "n_rows", F.least(cap, F.coalesce(F.col("w") * F.col("level"), cap)).alias("target"), "budget")
 
@@ -77,8 +79,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     Returns doc_id, size (words; null text 0), source_size, target, copies (0 to
     ``rounds``), taken (copies times size) and the row's key k1, k2.  Sources
     near their target by less than one document; equal finish times go by
-    source, round and id.  A text without words has size 0 and takes its turn
-    without filling the mix.  Rows that are equal in everything queue one after
+    source, round and id.  A text without words has size 0: it stays out of the
+    common line, fills nothing, and its copies count by their place alone.  Rows that are equal in everything queue one after
     the other.  The null source is a source of its own; a null id sorts as empty
     text.  Other columns are ignored; an empty table gives no rows.
     """
@@ -92,7 +94,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
     queued = settle(queued.drop("b", "h", "n_rows"), "queues")
     turn = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))
     finish = (F.col("cum") + F.col("turn") * F.col("source_size")) / F.when(F.col("target") > 0, F.col("target"))
-    items = queued.select("*", turn.alias("turn")).withColumn("v", F.coalesce(finish, F.lit(0.0)))
+    items = queued.where("size > 0").select("*", turn.alias("turn")).withColumn("v", F.coalesce(finish, F.lit(0.0)))
     n_buckets = -(-sizes.count() // BUCKET)
     items = items.withColumn("vb", F.floor(F.col("v") * n_buckets).cast("long"))
     order = [F.col("v"), F.col("rank"), F.col("turn"), F.col("doc_id").asc_nulls_first()]
@@ -111,9 +113,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, all columns, each as often as it is taken."""
+    """The documents of the mix, all columns, each as often as it is taken.
+
+    Null texts and texts without words count 0 and come out as often as their
+    place allows.  Rows equal in every column are one row with the copies of all
+    of them.  An empty table gives no rows.
+    """
     plan = mix(docs, **options).groupBy("k1", "k2").agg(F.sum("copies").alias("__copies")).where("__copies > 0").withColumnsRenamed({"k1": "__p1", "k2": "__p2"})
-    keyed = docs.select("*", *[k.alias(f"__{n}") for k, n in zip(row_key("doc_id", "text", "source"), ("k1", "k2"))])
+    keyed = docs.select("*", *[k.alias(f"__{n}") for k, n in zip(row_key(*docs.columns), ("k1", "k2"))])
     once = keyed.dropDuplicates(["__k1", "__k2"])
     joined = once.join(plan, (F.col("__k1") == F.col("__p1")) & (F.col("__k2") == F.col("__p2")))
     copied = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
@@ -121,19 +128,23 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
 
 MIX_SQL = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, CAST(coalesce(length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5(concat(CAST(doc_id AS VARCHAR), ':mix')) AS h
   FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM per),
 weighted AS (SELECT *, CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w, 2 * source_size AS cap FROM ranked),
-filled AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
-                  sum(w) OVER (ORDER BY cap / w, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight,
-                  CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS budget FROM weighted),
-levels AS (SELECT *, min(CASE WHEN (budget - CAST(full_before AS DOUBLE)) / CAST(open_weight AS DOUBLE) <= cap / w
-                              THEN (budget - CAST(full_before AS DOUBLE)) / CAST(open_weight AS DOUBLE) END) OVER () AS lvl FROM filled),
-goal AS (SELECT source, rank, source_size, least(CAST(cap AS DOUBLE), coalesce(w * lvl, CAST(cap AS DOUBLE))) AS target, budget FROM levels),
+shares AS (SELECT CAST(sum(source_size) AS DOUBLE) * CAST(1.5 AS DOUBLE) AS budget, count(*) AS n FROM weighted),
+-- the level of a round: what the sources above it leave, by the weights of the others
+levels AS (
+  SELECT 0 AS k, (SELECT budget FROM shares) / CAST((SELECT sum(w) FROM weighted) AS DOUBLE) AS lvl
+  UNION ALL
+  SELECT l.k + 1, (any_value(s.budget) - CAST(coalesce(sum(g.cap) FILTER (WHERE g.cap < g.w * l.lvl), 0) AS DOUBLE))
+                  / CAST(sum(g.w) FILTER (WHERE g.cap >= g.w * l.lvl) AS DOUBLE)
+  FROM levels l, weighted g, shares s WHERE l.k < s.n GROUP BY l.k, l.lvl),
+goal AS (SELECT source, rank, source_size, least(CAST(cap AS DOUBLE), w * (SELECT lvl FROM levels ORDER BY k DESC LIMIT 1)) AS target,
+                (SELECT budget FROM shares) AS budget FROM weighted),
 queued AS (SELECT s.doc_id, s.size, g.rank, g.source_size, g.target, g.budget,
                   CAST(sum(s.size) OVER (PARTITION BY g.rank ORDER BY s.h, s.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum
            FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),

@@ -169,6 +169,49 @@ def test_mixing_meets_targets(docs):
     assert mixing.mixed(docs).count() == sum(r.copies for r in out)
 
 
+def reshared(sizes, budget):
+    """Targets by source as the words of the contract put them: share, cut, reshare."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    goal = dict.fromkeys(names, 0.0)
+    left, open_ = budget, set(names)
+    while left > 1e-9 and open_:
+        share = left / sum(weight[s] for s in open_)
+        for s in open_:
+            goal[s] += weight[s] * share
+        left = sum(max(0.0, goal[s] - 2 * sizes[s]) for s in open_)
+        for s in names:
+            goal[s] = min(goal[s], 2.0 * sizes[s])
+        open_ = {s for s in open_ if goal[s] < 2 * sizes[s]}
+    return goal
+
+
+@pytest.mark.parametrize("many", [1, 30])
+def test_mixing_of_many_like_sources_equals_resharing(spark, many, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 50)
+    rng = random.Random(many)
+    rows = [(i, "w " * rng.randint(0, 30), f"s{i % 20}" if i % 21 else None) for i in range(40 * many)]
+    rows += [(5000 + i, " ", "blank") for i in range(200)]
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    goal = reshared(sizes, 1.5 * sum(sizes.values()))
+    taken, most = Counter(), defaultdict(int)
+    source_of = {i: s for i, _, s in rows}
+    for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        s = source_of[r.doc_id]
+        assert abs(r.target - goal[s]) < 1e-6 and r.source_size == sizes[s]
+        taken[s] += r.taken
+        most[s] = max(most[s], r["size"])
+    assert abs(sum(goal.values()) - 1.5 * sum(sizes.values())) < 1e-6
+    assert all(abs(taken[s] - goal[s]) <= most[s] + 1e-6 for s in sizes)
+
+
+def test_mixed_keeps_columns_of_rows_that_differ_elsewhere(spark):
+    df = spark.createDataFrame([(1, "a b", "s", "x"), (1, "a b", "s", "y")], "doc_id long, text string, source string, note string")
+    assert {r.note for r in mixing.mixed(df).collect()} == {"x", "y"}
+
+
 @pytest.mark.parametrize("segments, loss", [(256, 2048), (3, 900)])
 def test_packing_places_every_id_once(docs, segments, loss):
     from tokenizers import Tokenizer
