@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, repeats, toxicity, url_filter
+from . import ann, conversation_repair, divergence, exact_dedup, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, repeats, toxicity, url_filter
 from .common import table
 
 QUERIES = {}
@@ -81,3 +81,18 @@ def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair", conversation_repair.REPAIR_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_source_divergence", divergence.DIVERGENCE_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_exact_dedup", exact_dedup.COPIES_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
