@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
+from ..operators import evidence as E
 from ..operators import imports as I
 from . import bindings as B
 from .quality_queries import any_of, rule, told
@@ -146,3 +148,111 @@ def region_overlap(spark, d):
     out = I.region_overlap(I.declared(items(spark, d), **SWEEP), rows(spark, d))
     told_ = lambda c: F.concat_ws(",", F.array_sort(c)).alias(c)
     return out.select("key", "channel", F.size("covered").alias("n_covered"), told_("covered"), told_("missing"), told_("extra"))
+
+
+# candidates of three stores with blocks of evidence; p_size names what is wrong with one
+view("v_evidence_catalog", """
+SELECT slug, title, p_partkey, steam_app_id, nsuid_americas, nsuid_europe, nsuid_japan, nintendo_us_slug, platforms, psn_product_id, psn_edition,
+  CASE WHEN psn_product_id IS NOT NULL THEN lpad(CAST(p_partkey AS VARCHAR), 8, '0') END AS psn_concept_id,
+  CASE WHEN p_partkey % 3 <> 0 THEN xbox_big_id END AS xbox_big_id, CASE WHEN p_partkey % 3 <> 0 THEN xbox_edition END AS xbox_edition
+FROM v_catalog
+""")
+
+
+def evidence_catalog(spark, d):
+    own = F.col("p_partkey") % 3 != 0
+    return B.catalog(spark, d).withColumns({
+        "psn_concept_id": F.when(F.col("psn_product_id").isNotNull(), F.lpad(F.col("p_partkey").cast("string"), 8, "0")),
+        "xbox_big_id": F.when(own, F.col("xbox_big_id")), "xbox_edition": F.when(own, F.col("xbox_edition"))})
+
+
+SIGNED = ("candidate_id", "slug", "title", "catalog_action", "nintendo_us_slug")
+
+
+def kept_candidates(spark, d):
+    p, s, key = B.table(spark, d, "part"), F.col("p_size"), F.col("p_partkey")
+    text = key.cast("string")
+    kind = F.when(F.col("p_type").isin("STANDARD", "MEDIUM"), "psn").when(F.col("p_type").isin("PROMO", "SMALL"), "xbox").otherwise("ns")
+    pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    p = p.withColumn("kind", kind)
+    ns = F.col("kind") == "ns"
+    new = ns & (s % 2 == 0)
+    p = p.withColumns({
+        "am": F.when(ns & (s != 9), F.concat(F.lit("7001"), pad(key + 5000000, 10))), "eu": F.when(ns, F.concat(F.lit("7001"), pad(key + 6000000, 10))),
+        "pid": F.when(F.col("kind") == "psn", F.concat(F.lit("UP0002-PPSA"), pad(F.when(s == 17, F.lit(1)).otherwise(key), 8), F.lit("-GAME"), pad(key, 12))),
+        "xid": F.when(F.col("kind") == "xbox", F.concat(F.lit("8N"), pad(key, 10)))})
+    ident = F.when(ns, F.concat(F.lit("ns:"), F.when(s == 1, "7002").otherwise(""), F.when(s == 6, F.lit("70010000000001")).when(s == 9, F.col("eu")).otherwise(F.col("am"))))
+    ident = ident.when(F.col("pid").isNotNull(), F.concat(F.lit("psn:"), "pid")).otherwise(F.concat(F.lit("xbox:"), "xid"))
+
+    def block(name, at="2001-05-20T00:00:00Z", until=None, product_slug=None, nsuid=None, forged=F.lit(False)):
+        body = F.concat(F.lit(name), text)
+        lit = lambda x: F.lit(None).cast("string") if x is None else x if not isinstance(x, str) else F.lit(x)
+        return F.struct(F.lit(name).alias("block"), lit(at).alias("observed_at"), lit(until).alias("expires_at"),
+                        F.concat(F.lit("sha256:"), F.sha2(F.when(forged, "x").otherwise(body), 256)).alias("digest"), body.alias("body"),
+                        lit(nsuid).alias("nsuid"), lit(product_slug).alias("product_slug"))
+
+    old, ok, later = F.lit("2001-05-01T00:00:00Z"), F.lit("2001-05-20T00:00:00Z"), F.lit("2001-06-02T00:00:00Z")
+    at = lambda *pairs: F.coalesce(*[F.when(s.isin(*sizes), v) for sizes, v in pairs], ok)
+    us = {"nsuid": F.when(s == 7, "70010000000007").otherwise(F.col("am")), "product_slug": F.when(s == 8, "other").otherwise(F.concat(F.lit("us-"), text))}
+    retained = F.array_compact(F.array(
+        F.when(s != 12, block("us_automatic", at(((11,), old)), **us)), F.when(s == 12, block("us_manual", F.lit("soon"), **us)),
+        block("popularity", at(((19,), old))), block("popularity", at(((15,), old))),
+        block("europe", at(((13,), later)), forged=s == 20), F.when(s % 3 == 0, block("japan", ok)), F.when(s == 14, block("japan", old)),
+        F.when(s == 16, block("exclusivity", old)), block("steam_match", at(((17,), later), ((19,), old)))))
+    seen = F.when(s == 13, later).otherwise("2001-05-30T00:00:00Z")
+    until = F.when(s == 11, F.lit("2001-06-07T00:00:00Z")).when(s == 12, F.lit("2001-06-01T00:00:00Z")).otherwise("2001-06-05T00:00:00Z")
+    product = F.when(s != 14, F.array(block("product", seen, until))).otherwise(F.array().cast("array<struct<block:string,observed_at:string,expires_at:string,digest:string,body:string,nsuid:string,product_slug:string>>"))
+    rows = p.select(
+        ident.alias("candidate_id"), F.concat(F.when(new | ((s == 21) & ~ns), "n").otherwise("p"), text).alias("slug"),
+        F.when(s == 22, "other").otherwise(F.col("p_name")).alias("title"), F.when(new, "new_game").otherwise("add_platform_mapping").alias("catalog_action"),
+        F.when(s == 18, F.lit(100001)).alias("steam_app_id"), F.col("am").alias("nsuid_americas"), F.col("eu").alias("nsuid_europe"), F.lit(None).cast("string").alias("nsuid_japan"),
+        F.when(ns & (s != 9), F.concat(F.lit("us-"), text)).alias("nintendo_us_slug"), F.col("pid").alias("psn_product_id"), F.when(s == 23, pad(F.lit(2), 8)).alias("psn_concept_id"),
+        F.when(s == 1, "deluxe").otherwise("standard").alias("psn_edition"), F.col("xid").alias("xbox_big_id"), F.when(s == 1, "deluxe").otherwise("standard").alias("xbox_edition"),
+        F.when(s == 4, F.array(F.lit("pc"))).when(F.col("kind") == "psn", F.array(F.lit("ps5"))).otherwise(F.array(F.lit("xbox"))).alias("platforms"),
+        F.when(new & (s != 10), "eshop").alias("primary_regional_channel"), F.when(s == 4, "exception").otherwise("passed").alias("verify_status"),
+        F.when(s == 5, F.array(F.lit("x"))).alias("exception_reasons"), F.when(ns, retained).otherwise(product).alias("evidence"), "p_size", text.alias("part"))
+    sealed = F.when(s == 2, "x").when(s == 3, F.concat(F.lit("sha256:"), F.sha2("slug", 256))).otherwise(X.fingerprint(*SIGNED))
+    return rows.withColumn("evidence_digest", sealed)
+
+
+NS_KIND = "(p_type NOT IN ('STANDARD', 'MEDIUM', 'PROMO', 'SMALL'))"
+view("v_kept", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS part, p_size, p_partkey, p_type, p_name, {NS_KIND} AS ns, {NS_KIND} AND p_size % 2 = 0 AS fresh,
+  p_type IN ('STANDARD', 'MEDIUM') AS psn, p_type IN ('PROMO', 'SMALL') AS xbox FROM part
+""")
+view("v_block_faults", """
+SELECT part, min(CASE WHEN p_size = 11 THEN 'us_automatic_expired' WHEN p_size = 12 THEN 'us_manual_time_invalid' WHEN p_size = 13 THEN 'europe_in_future' WHEN p_size = 14 THEN 'japan_expired'
+  WHEN p_size = 15 THEN 'popularity_2_expired' WHEN p_size = 16 THEN 'exclusivity_expired' WHEN p_size = 17 THEN 'steam_match_in_future' WHEN p_size = 19 THEN 'popularity_1_expired'
+  WHEN p_size = 20 THEN 'europe_digest_mismatch' END) AS reason, count(*) AS one FROM v_kept WHERE ns GROUP BY part
+UNION ALL SELECT part, CASE WHEN p_size IN (11, 13) THEN 'product_term_invalid' WHEN p_size = 12 THEN 'product_expired' END, 1 FROM v_kept WHERE NOT ns AND p_size <> 14
+""")
+
+
+@query("verify_retained", """
+SELECT k.part, CASE
+  WHEN p_size = 1 THEN 'bad_candidate_id' WHEN p_size = 2 THEN 'bad_digest' WHEN p_size = 3 THEN 'digest_mismatch'
+  WHEN ns AND p_size IN (4, 5) THEN 'discovery_not_passed' WHEN ns AND p_size = 6 THEN 'candidate_id_not_retained' WHEN ns AND p_size = 7 THEN 'americas_evidence_mismatch'
+  WHEN ns AND p_size = 8 THEN 'us_slug_mismatch' WHEN ns AND p_size = 9 THEN 'us_identity_without_nsuid' WHEN fresh AND p_size = 10 THEN 'wrong_primary_channel'
+  WHEN NOT ns AND p_size = 4 THEN 'platform_mismatch' WHEN NOT ns AND p_size = 14 THEN 'product_evidence_missing'
+  WHEN f.reason IS NOT NULL THEN f.reason
+  WHEN NOT ns AND p_size = 21 THEN 'mapping_target_missing' WHEN NOT fresh AND p_size = 22 THEN 'title_mismatch'
+  WHEN p_size = 18 AND EXISTS (SELECT 1 FROM v_evidence_catalog o WHERE o.steam_app_id = 100001 AND (o.slug <> c.slug OR fresh)) THEN 'steam_id_owned'
+  WHEN ns AND NOT fresh AND (c.nsuid_americas IS NOT NULL OR c.nsuid_europe IS NOT NULL) THEN 'replaces_nsuid'
+  WHEN xbox AND NOT list_contains(c.platforms, 'xbox') THEN 'target_without_platform'
+  WHEN psn AND c.psn_product_id IS NOT NULL THEN 'replaces_psn_identity' WHEN xbox AND c.xbox_big_id IS NOT NULL THEN 'replaces_xbox_identity'
+  WHEN psn AND p_size = 23 AND EXISTS (SELECT 1 FROM v_evidence_catalog o WHERE o.psn_concept_id = '00000002') THEN 'concept_owned' END AS reason
+FROM v_kept k JOIN v_evidence_catalog c ON k.p_partkey = c.p_partkey LEFT JOIN v_block_faults f ON k.part = f.part
+""")
+def verify_retained(spark, d):
+    return E.verify_retained(kept_candidates(spark, d), evidence_catalog(spark, d), B.AS_OF, SIGNED).select("part", "reason")
+
+
+@query("aged_evidence", """
+SELECT k.part, CASE WHEN ns THEN 5 + CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN p_size IN (14, 16) THEN 1 ELSE 0 END ELSE 1 END AS n_blocks,
+  CASE WHEN f.reason IS NULL THEN 0 WHEN p_size = 19 THEN 2 ELSE 1 END AS n_faults, f.reason AS evidence_reason
+FROM v_kept k LEFT JOIN v_block_faults f ON k.part = f.part WHERE ns OR p_size <> 14
+""")
+def aged_evidence(spark, d):
+    """How many blocks a candidate has, how many no longer hold, and the first that does not."""
+    kept = kept_candidates(spark, d).withColumn("candidate_id", F.col("part"))
+    return E.aged_evidence(kept, B.AS_OF).select(F.col("candidate_id").alias("part"), F.col("n_blocks").cast("int").alias("n_blocks"), F.col("n_faults").cast("int").alias("n_faults"), "evidence_reason")
