@@ -4,11 +4,41 @@ table, in a single task."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from .expr import ColumnLike, col
+
+#: Ranges that a total order is cut into: a first cut, and one inside each part of it.
+PARTS = 32
+#: Rows of the sample that the cuts are taken from.
+SAMPLE = 16 * PARTS * PARTS
+
+
+class Key(NamedTuple):
+    """A sort key whose direction is known, so that two rows can be compared by it."""
+
+    name: ColumnLike
+    descending: bool = False
+
+    @property
+    def value(self) -> Column:
+        return col(self.name)
+
+    def order(self) -> Column:
+        return self.value.desc() if self.descending else self.value.asc()
+
+
+def down(value: ColumnLike) -> Key:
+    return Key(value, True)
+
+
+def keys_of(order: Sequence[Column | Key | str]) -> list[Key]:
+    """Sort keys; a plain column or name is ascending."""
+    return [k if isinstance(k, Key) else Key(k) for k in order]
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
@@ -24,51 +54,85 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     return out if rank else out.drop(name)
 
 
-def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """1-based position of every row in one total order, computed in parallel.
+def _splitters(df: DataFrame, keys: Sequence[Key]) -> DataFrame:
+    """One row with ``cuts``: sorted keys of the table in PARTS arrays of PARTS.
 
-    A window without a partition key would move the table into one task.  Here
-    the rows are range partitioned and sorted, the layout is checkpointed so
-    that a lost executor cannot change it, and every row adds its offset inside
-    the partition to the number of rows in earlier partitions.  The offsets are
-    one row per partition.  ``order`` must end in a unique key.
+    The sample is the row with the smallest hash of each hash class: the same
+    rows whenever the plan runs, whatever the partitioning, and of fixed size.
+    """
+    values = [k.value.alias(f"k{i}") for i, k in enumerate(keys)]
+    hashed = df.select(*values).withColumn("h", F.xxhash64(*[f"k{i}" for i in range(len(keys))]))
+    picked = F.min(F.struct("h", *[f"k{i}" for i in range(len(keys))])).alias("s")
+    sample = hashed.groupBy(F.pmod("h", F.lit(SAMPLE)).alias("class")).agg(picked).select("s.*")
+    # the window and the arrays see the sample only
+    by = Window.orderBy(*[Key(f"k{i}", k.descending).order() for i, k in enumerate(keys)])
+    step = F.floor((F.row_number().over(by) - 1) * PARTS * PARTS / F.count(F.lit(1)).over(Window.partitionBy()))
+    first = sample.withColumn("n", step).groupBy("n").agg(F.min("h").alias("h"), F.first(F.lit(1)).alias("one"))
+    cut = sample.withColumn("n", step).join(F.broadcast(first.select("n", "h")), ["n", "h"])
+    one = cut.groupBy((F.col("n") / PARTS).cast("int").alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("n", *[f"k{i}" for i in range(len(keys))]))).alias("part_cuts"))
+    return one.agg(F.sort_array(F.collect_list(F.struct("part", "part_cuts"))).alias("cuts"))
+
+
+def _reached(keys: Sequence[Key], cut: Column) -> Column:
+    """Whether a row stands at or behind a cut."""
+    behind, equal = F.lit(False), F.lit(True)
+    for i, k in enumerate(keys):
+        other = cut[f"k{i}"]
+        # ascending keys have nulls first, descending ones last
+        more = F.when(k.value.isNull(), F.lit(False)).when(other.isNull(), F.lit(True)).otherwise(k.value > other)
+        less = F.when(other.isNull(), F.lit(False)).when(k.value.isNull(), F.lit(True)).otherwise(k.value < other)
+        behind = behind | (equal & (less if k.descending else more))
+        equal = equal & k.value.eqNullSafe(other)
+    return behind | equal
+
+
+def ranged(df: DataFrame, order: Sequence[Column | Key | str], name: str = "__range") -> DataFrame:
+    """Number of the range of a total order that a row lies in, rows in order never going back.
+
+    Nothing runs here: the cuts are a scalar subquery of the plan itself.  A
+    range holds about one part in PARTS * PARTS of the rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    laid_out = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__pos", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    per_part = laid_out.groupBy("__pid").agg(
-        F.count(F.lit(1)).alias("__rows"), F.min("__pos").alias("__base")
-    )
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "__pid", "__base", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
-    )
-    # one row per partition, so the broadcast is bounded by the partition count
-    return (
-        laid_out.join(F.broadcast(offsets), "__pid")
-        .withColumn(name, F.col("__pos") - F.col("__base") + F.col("__offset") + 1)
-        .drop("__pid", "__pos", "__base", "__offset")
-    )
-
-
-def group_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """1-based position inside every group, for groups of any size.
-
-    Rows are numbered in one total order of (keys, order); the position inside
-    a group is the distance to the group's first number, which is an aggregate.
-    ``order`` must be unique inside a group.
+    keys = keys_of(order)
+    cuts = F.coalesce("cuts", F.array())
+    with_cuts = df.withColumn("cuts", _splitters(df, keys).scalar())
+    part = F.size(F.filter(F.col("cuts"), lambda p: _reached(keys, p["part_cuts"][0])))
+    inside = F.size(F.filter(F.try_element_at("cuts", F.col("__part"))["part_cuts"], lambda c: _reached(keys, c)))
+    part = F.when(F.size(cuts) > 0, part).otherwise(0)
+    return with_cuts.withColumn("__part", part).withColumn(
+        name, F.when(F.col("__part") > 0, F.col("__part") * (PARTS + 1) + inside).otherwise(0)).drop("cuts", "__part")
+
+
+def group_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column | Key | str], name: str = "rn") -> DataFrame:
+    """1-based position inside every group, for groups of any size; no job runs before the result's own.
+
+    The order of (keys, order) is cut into ranges; a row's position is that in
+    its range plus the group's rows in earlier ranges.  Only a group that reaches
+    over a cut has such rows, so the offsets are at most one row per range.
+    ``order`` must be unique inside a group, and the rows of ``df`` the same
+    whenever it is read.
+    """
+    laid = ranged(df, [*keys, *order])
+    inside = Window.partitionBy("__range", *keys).orderBy(*[k.order() for k in keys_of(order)])
+    counts = laid.groupBy("__range", *keys).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__before", F.sum("__rows").over(before)).where(F.col("__before") > 0)
+    offsets = offsets.select(F.col("__range").alias("__r"), *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], "__before")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)], F.col("__range") == F.col("__r"))
+    out = laid.withColumn("__in", F.row_number().over(inside)).join(F.broadcast(offsets), same, "left")
+    return out.withColumn(name, F.col("__in") + F.coalesce("__before", F.lit(0))).select(*df.columns, name)
+
+
+def global_row_number(df: DataFrame, order: Sequence[Column | Key | str], name: str = "rn") -> DataFrame:
+    """1-based position of every row in one total order, computed in parallel.
+
+    A window without a partition key would move the table into one task; here
+    such a window runs over one row per range.  ``order`` must end in a unique key.
     """
-    numbered = global_row_number(df, [*[F.col(k) for k in keys], *order], "__n")
-    first = numbered.groupBy(*keys).agg(F.min("__n").alias("__first"))
-    return numbered.join(first, list(keys)).withColumn(name, F.col("__n") - F.col("__first") + 1).drop("__n", "__first")
+    return group_row_number(df, [], order, name)
 
 
-def paginate(df: DataFrame, order: Sequence[Column], size: int = 100) -> DataFrame:
+def paginate(df: DataFrame, order: Sequence[Column | Key | str], size: int = 100) -> DataFrame:
     """Add the 1-based page number of every row in the listing order."""
     numbered = global_row_number(df, order, "__rn")
     page = (F.floor((F.col("__rn") - 1) / F.lit(size)) + 1).cast("int")

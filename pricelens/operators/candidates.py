@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
-from ..functions.ordering import global_row_number
+from ..functions.ordering import Key, down, global_row_number, keys_of
 
 # Scoring constants, fixed values.
 POINTS_CEILING = 2001
@@ -72,9 +72,12 @@ def popularity_score(pool: DataFrame, recommendations: str = "recommendations")
     return pool.withColumn("proxy_points", proxy).withColumn("score", score.cast("bigint"))
 
 
+def candidate_keys() -> list[Key]:
+    return keys_of([down("score"), down("days_seen"), down("points"), down(F.coalesce("recommendations", F.lit(0))), "app_id"])
+
+
 def candidate_order() -> list[Column]:
-    return [F.col("score").desc(), F.col("days_seen").desc(), F.col("points").desc(),
-            F.coalesce("recommendations", F.lit(0)).desc(), F.col("app_id")]
+    return [k.order() for k in candidate_keys()]
 
 
 def rank_candidates(scored: DataFrame, limit: int) -> DataFrame:
@@ -89,7 +92,7 @@ def rank_candidates(scored: DataFrame, limit: int) -> DataFrame:
 
 def source_rank(scored: DataFrame) -> DataFrame:
     """1-based rank of every candidate, over the whole table in parallel."""
-    return global_row_number(scored, candidate_order(), "source_rank")
+    return global_row_number(scored, candidate_keys(), "source_rank")
 
 
 def day_one_cohort(pool: DataFrame, limit: int = 100) -> DataFrame:

@@ -156,7 +156,7 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
         open_ = open_.join(winners.select("seq"), "seq", "left_anti")
     # what is left repeats both base and store id; (stem, counter) names a slug, so new counters are free
     stem = F.concat_ws("-", "base", F.col("store_id").cast("string"))
-    rest = group_row_number(open_.withColumn("stem", stem), ["stem"], [F.col("seq")], "n")
+    rest = group_row_number(open_.withColumn("stem", stem), ["stem"], ["seq"], "n")
     counter = r"^(.*)-(\d{1,9})$"
     used = taken.where(F.col("slug").rlike(counter)).groupBy(F.regexp_extract("slug", counter, 1).alias("stem")).agg(
         F.max(F.regexp_extract("slug", counter, 2).cast("long")).alias("used"))

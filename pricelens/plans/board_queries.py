@@ -274,7 +274,7 @@ SELECT slug, channel, pct, CAST((row_number() OVER (ORDER BY pct DESC, slug, cha
 """)
 def paginate(spark, d):
     rows = deals(spark, d).select("slug", "channel", "pct")
-    return O.paginate(rows, [F.col("pct").desc(), F.col("slug"), F.col("channel")], 100)
+    return O.paginate(rows, [O.down("pct"), "slug", "channel"], 100)
 
 
 @query("page_count", "SELECT count(*) AS n_rows, CAST(greatest(1, ceil(count(*)/100.0)) AS INT) AS pages FROM v_obs")
@@ -284,7 +284,7 @@ def page_count(spark, d):
 
 @query("search_index", "SELECT slug, title, row_number() OVER (ORDER BY slug) AS ordinal FROM v_catalog")
 def search_index(spark, d):
-    return O.global_row_number(B.catalog(spark, d).select("slug", "title"), [F.col("slug")], "ordinal")
+    return O.global_row_number(B.catalog(spark, d).select("slug", "title"), ["slug"], "ordinal")
 
 
 @query("first_per_key", """

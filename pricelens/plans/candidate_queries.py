@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
-from ..functions.ordering import group_row_number
+from ..functions.ordering import down, group_row_number
 from ..operators import candidates as C
 from ..operators import catalog as M
 from . import bindings as B
@@ -18,7 +18,7 @@ def rankings(spark, d):
     li = B.table(spark, d, "lineitem").groupBy(
         F.date_trunc("month", "l_shipdate").cast("date").alias("day"), "l_returnflag", "l_partkey").agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("qty"))
-    ranked = group_row_number(li, ["day", "l_returnflag"], [F.col("qty").desc(), F.col("l_partkey")], "rank")
+    ranked = group_row_number(li, ["day", "l_returnflag"], [down("qty"), "l_partkey"], "rank")
     flag = F.col("l_returnflag")
     return ranked.select(
         "day", F.when(flag == "A", "top").when(flag == "N", "featured").otherwise("played").alias("source"),
