@@ -63,8 +63,8 @@ def finish(stream: DataFrame, home: str, sink: str) -> DataFrame:
 
 def finish_steps(stream: DataFrame, step, home: str, sink: str) -> DataFrame:
     """Run a ``foreachBatch`` function over everything landed and read what its batches wrote."""
-    table = VersionedTable(stream.sparkSession, f"{home}/{sink}-state")
-    q = stream.writeStream.foreachBatch(step(table, f"{home}/{sink}")).option(
+    made = step(f"{home}/{sink}-state", f"{home}/{sink}", stream.sparkSession)
+    q = stream.writeStream.foreachBatch(made).option(
         "checkpointLocation", f"{home}/{sink}-checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return stream.sparkSession.read.parquet(f"{home}/{sink}").drop("v")
@@ -96,7 +96,8 @@ def stream_change_events(spark, d):
 @query("stream_atl", "SELECT slug, atl_key, usd, date FROM v_atl")
 def stream_atl(spark, d):
     home = workspace(spark)
-    return finish_table(SP.stream_atl(daily_stream(spark, d, home)), home, "atl", "complete")
+    daily_stream(spark, d, home, lambda s: finish_steps(s, SP.atl_step, home, "atl"))
+    return SP.kept_lows(spark, f"{home}/atl-state")
 
 
 @query("dedupe_observations", "SELECT slug, channel, d, usd FROM v_daily")
@@ -105,8 +106,8 @@ def dedupe_observations(spark, d):
     home = workspace(spark)
     daily = B.daily(spark, d).withColumn("observed_at", F.col("d").cast("timestamp"))
     twice = daily.unionByName(daily.withColumn("observed_at", F.col("observed_at") + F.expr("INTERVAL 6 HOURS")))
-    return landed(twice, "observed_at", CUTS, f"{home}/twice",
-                  lambda s: finish(SP.dedupe_observations(s).select("slug", "channel", "d", "usd"), home, "once"))
+    return landed(twice.select("slug", "channel", "d", "usd", "observed_at"), "observed_at", CUTS, f"{home}/twice",
+                  lambda s: finish_steps(s, SP.dedupe_step, home, "once")).select("slug", "channel", "d", "usd")
 
 
 view("v_shown", """
@@ -148,5 +149,5 @@ def stream_stale_sources(spark, d):
 def stream_requests_per_day(spark, d):
     home = workspace(spark)
     log = B.table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
-    stream = landed(log, "ts", ("2024-01-10", "2024-01-20"), f"{home}/log")
-    return finish_table(SH.stream_requests_per_day(stream, 3), home, "quota", "complete")
+    landed(log, "ts", ("2024-01-10", "2024-01-20"), f"{home}/log", lambda s: finish_steps(s, SH.quota_step, home, "quota"))
+    return SH.kept_quota(spark, f"{home}/quota-state", 3)

@@ -7,11 +7,11 @@ merge of two small ledgers, not in one key's processor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import health as H
-from .state_table import VersionedTable
+from .state_table import BucketedTable, VersionedTable
 
 
 def merge_ledgers(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -74,3 +74,43 @@ def stream_requests_per_day(log: DataFrame, limit: int, keep: str = "31 days") -
         .agg(F.count(F.lit(1)).alias("requests"))
         .select("user_id", F.col("w.start").cast("date").alias("day"), "requests", (F.col("requests") > limit).alias("over_limit"))
     )
+
+
+def _by_day():
+    return F.unix_date("day")
+
+
+def quota_step(state: str, out: str, spark: SparkSession, keep_days: int = 31):
+    """``foreachBatch`` function: request counts per client and UTC day under ``state``, the changed ones of a batch under ``out``.
+
+    State lies by day: a batch rewrites the days it holds.  A day more than
+    ``keep_days`` before the newest one leaves the state; what still comes for it
+    is written under ``out``-retired and counts nowhere.  A batch that is run
+    again starts from the version before it, so no request counts twice.
+    """
+    table = BucketedTable(spark, state, _by_day)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.where(F.col("ts").isNotNull()).select("user_id", F.col("ts").cast("date").alias("day"))
+        index, touched = table.before(batch_id), table.touched(rows)
+        newest = max([*touched, *([index["clock"]] if index["clock"] is not None else [])], default=None)
+        edge = -(1 << 31) if newest is None else newest - keep_days
+        counted = rows.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("requests"))
+        counted.where(_by_day() < edge).write.mode("overwrite").parquet(f"{out}-retired/v={batch_id}")
+        live = {b for b in touched if b >= edge}
+        counted = counted.where(_by_day() >= edge)
+        held = table.read(index, live)
+        now = counted.withColumn("fresh", F.lit(True))
+        if held is not None:
+            both = now.unionByName(held.withColumn("fresh", F.lit(False)))
+            now = both.groupBy("user_id", "day").agg(F.sum("requests").alias("requests"), F.max("fresh").alias("fresh"))
+        now.where("fresh").drop("fresh").write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        table.write(now.drop("fresh"), batch_id, index, live, clock=newest, drop=[b for b in index["buckets"] if b < edge])
+
+    return step
+
+
+def kept_quota(spark: SparkSession, state: str, limit: int) -> DataFrame:
+    """Requests per client and kept day with the breach flag."""
+    days = BucketedTable(spark, state, _by_day).current()
+    return days.select("user_id", "day", "requests", (F.col("requests") > limit).alias("over_limit"))

@@ -12,7 +12,7 @@ from datetime import date
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..functions import expr as X
 from ..functions.ordering import first_per_key
 from ..operators.history import KEY
-from .state_table import VersionedTable
+from .state_table import BucketedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -91,16 +91,28 @@ def stream_change_events(obs: DataFrame) -> DataFrame:
     )
 
 
-def change_events_step(last: VersionedTable, out: str):
+#: Parts that keyed state is split into.
+BUCKETS = 64
+
+
+def by_key() -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS))
+
+
+def change_events_step(state: str, out: str, spark: SparkSession):
     """``foreachBatch`` function: change events and late rows of a batch, written under ``out``.
 
-    ``last`` keeps the newest day of every key and nothing else; the events of
-    a batch are those of its rows behind that day.  Rules as ``ChangeEvents``.
+    The table under ``state`` keeps the newest day of every key and nothing
+    else; the events of a batch are those of its rows behind that day.  Only the
+    buckets of the batch's keys are read and written.  Rules as ``ChangeEvents``.
     """
+    last = BucketedTable(spark, state, by_key)
+
     def step(batch: DataFrame, batch_id: int) -> None:
         cols = ("d", "usd", "pct")
         rows = batch.select(*KEY, *cols, F.lit(True).alias("__new"))
-        held = last.before(batch_id)
+        index, touched = last.before(batch_id), last.touched(batch)
+        held = last.read(index, touched)
         if held is not None:
             rows = rows.join(held.select(*KEY, F.col("d").alias("__seen")), list(KEY), "left")
             rows = rows.withColumn("__late", F.coalesce(F.col("d") < F.col("__seen"), F.lit(False))).drop("__seen")
@@ -112,11 +124,68 @@ def change_events_step(last: VersionedTable, out: str):
         kind = F.when(F.col("__late"), "late").otherwise("event").alias("kind")
         told = rows.withColumn("__prev", prev).where(F.col("__new") & (F.col("__late") | changed)).select(*KEY, *cols, kind)
         told.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
-        last.write(first_per_key(rows.where(~F.col("__late")), KEY, [F.desc("d"), F.desc("__new")]).select(*KEY, *cols), batch_id)
+        last.write(first_per_key(rows.where(~F.col("__late")), KEY, [F.desc("d"), F.desc("__new")]).select(*KEY, *cols), batch_id, index, touched)
 
     return step
 
 
+def dedupe_step(state: str, out: str, spark: SparkSession, keep_days: int | None = None):
+    """``foreachBatch`` function: the first row of every (game, store, day), written under ``out``.
+
+    The seen keys are a log by day.  A batch probes the days it holds and appends
+    to them, so its cost does not depend on how many days are kept.  With
+    ``keep_days``, days that many before the newest one are retired: their keys
+    go, and rows that still come for them are not passed on but written under
+    ``out``-retired.  Without it, every day is kept and no row is lost.
+    """
+    seen = BucketedTable(spark, state, lambda: F.unix_date("d"))
+    keys = [*KEY, "d"]
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        index, touched = seen.before(batch_id), seen.touched(batch)
+        newest = max([*touched, *([index["clock"]] if index["clock"] is not None else [])], default=None)
+        edge = None if keep_days is None or newest is None else newest - keep_days
+        fresh = batch.dropDuplicates(keys)
+        if edge is not None:
+            fresh.where(F.unix_date("d") < edge).write.mode("overwrite").parquet(f"{out}-retired/v={batch_id}")
+            fresh = fresh.where(F.unix_date("d") >= edge)
+        held = seen.read(index, touched)
+        if held is not None:
+            fresh = fresh.join(held, keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        mine = spark.read.schema(batch.schema).parquet(f"{out}/v={batch_id}").select(*keys)
+        retired = [b for b in index["buckets"] if edge is not None and b < edge]
+        seen.write(mine, batch_id, index, touched, append=True, clock=newest, drop=retired)
+
+    return step
+
+
+def atl_step(state: str, out: str, spark: SparkSession):
+    """``foreachBatch`` function: lows that a batch sets, written under ``out``; ``state`` keeps every key's low.
+
+    The low is the smallest price and, of equal ones, the first day; rows may
+    come in any order and more than once.
+    """
+    lows = BucketedTable(spark, state, by_key)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        index, touched = lows.before(batch_id), lows.touched(batch)
+        rows, held = batch.select(*KEY, "usd", "d"), lows.read(index, touched)
+        told = None if held is None else held.select(*KEY, F.struct("usd", "d").alias("old"))
+        new = (rows if held is None else rows.unionByName(held.select(*KEY, "usd", "d"))).groupBy(*KEY).agg(F.min(F.struct("usd", "d")).alias("b"))
+        moved = new if told is None else new.join(told, list(KEY), "left").where(~F.col("b").eqNullSafe(F.col("old")))
+        moved.select(*KEY, "b.usd", "b.d").write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        lows.write(new.select(*KEY, "b.usd", "b.d"), batch_id, index, touched)
+
+    return step
+
+
+def kept_lows(spark: SparkSession, state: str) -> DataFrame:
+    """Running low per game and store from the table of ``atl_step``."""
+    low = BucketedTable(spark, state, by_key).current()
+    return low.select("slug", X.relabel("channel", X.ATL_KEY_OF_CHANNEL).alias("atl_key"), "usd", F.col("d").alias("date"))
+
+
 def stream_atl(obs: DataFrame) -> DataFrame:
     """Running low per game and store with its first day; update mode."""
     low = obs.groupBy("slug", "channel").agg(F.min(F.struct("usd", "d")).alias("b"))
@@ -189,25 +258,36 @@ def deal_expiry(obs: DataFrame, delay: str = "0 seconds") -> DataFrame:
     )
 
 
-def deal_expiry_step(deals: VersionedTable, out: str):
+def deal_expiry_step(state: str, out: str, spark: SparkSession):
     """``foreachBatch`` function: shown price changes of a batch, written under ``out``.
 
-    ``deals`` keeps the newest observation of every key; its newest time is the
-    clock.  Only an observation older than its own key's moves nothing, so a key
-    may be first seen however late.  Rules as ``DealExpiry``.
+    The table under ``state`` keeps the newest observation of every key; the
+    newest time seen is the clock.  Only an observation older than its own key's
+    moves nothing, so a key may be first seen however late.  Every bucket notes
+    when its next sale ends, so a batch opens the buckets of its own keys and
+    those in which the clock has passed an end.  Rules as ``DealExpiry``.
     """
+    deals = BucketedTable(spark, state, by_key)
+
     def step(batch: DataFrame, batch_id: int) -> None:
         cols = (*KEY, "observed_at", "usd", "list_usd", "discount_pct", "sale_ends_at")
         open_end = F.col("sale_ends_at").isNotNull() & F.col("discount_pct").isNotNull()
+        index = deals.before(batch_id)
+        newest = batch.agg(F.max(F.unix_micros("observed_at"))).first()[0]
+        clock = max((t for t in (newest, index["clock"]) if t is not None), default=None)
+        due = {b for b, (_, ends) in index["buckets"].items() if ends is not None and clock is not None and ends <= clock}
+        touched = deals.touched(batch) | due
         rows = batch.select(*cols, F.lit(True).alias("fresh"), open_end.alias("due"))
-        held = deals.before(batch_id)
+        held = deals.read(index, touched)
         if held is not None:
             rows = rows.unionByName(held.select(*cols, F.lit(False).alias("fresh"), (F.col("due") & ~F.col("ended")).alias("due")))
         now = first_per_key(rows, KEY, [F.desc("observed_at"), F.desc("fresh")])
-        clock = F.broadcast(rows.agg(F.max("observed_at").alias("clock")))  # one row
-        ended = F.col("due") & F.coalesce(F.col("sale_ends_at") <= F.col("clock"), F.lit(False))
-        deals.write(now.crossJoin(clock).withColumn("ended", ended).drop("clock"), batch_id)
-        kept = deals.current()
+        ended = F.col("due") & F.coalesce(F.unix_micros("sale_ends_at") <= F.lit(clock), F.lit(False))
+        ahead = F.min(F.when(F.col("due") & ~F.col("ended"), F.unix_micros("sale_ends_at")))
+        now = now.withColumn("ended", ended)
+        deals.write(now, batch_id, index, touched, clock=clock, note=ahead)
+        kept = deals.read(deals.index(batch_id), touched)
+        kept = now if kept is None else kept  # an empty batch leaves empty files, not none
         shown = kept.where("fresh").select(*KEY, "usd", "discount_pct", F.lit("observed").alias("reason"))
         reason = F.when(F.col("list_usd").isNotNull(), "sale_ended").otherwise("withdrawn")
         back = kept.where("ended").select(*KEY, F.col("list_usd").alias("usd"), F.lit(None).cast("int").alias("discount_pct"), reason.alias("reason"))
