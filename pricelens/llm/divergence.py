@@ -90,7 +90,9 @@ def sharded(kept: DataFrame, vocabulary: DataFrame) -> DataFrame:
         blob = build(sorted(table.column("term").to_pylist())).packed()
         return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "shard": pa.array([key[1].as_py()], pa.int64()), "n_slots": pa.array([len(table)], pa.int64()), "blob": pa.array([blob], pa.binary())})
 
-    return placed.groupBy("lang", "shard").applyInArrow(hashed, "lang string, shard long, n_slots long, blob binary")
+    # shards are small and take long, so run-time coalescing by bytes would put them into one task
+    spread = placed.repartition(int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "shard")
+    return spread.groupBy("lang", "shard").applyInArrow(hashed, "lang string, shard long, n_slots long, blob binary")
 
 
 def packed(counts: np.ndarray) -> bytes:
@@ -131,15 +133,19 @@ def recounted(docs: DataFrame, hashes: DataFrame, n_shards: dict[str, int]) -> D
 
         def place() -> Iterator[pa.RecordBatch]:
             nonlocal held
+            places: dict[str, dict[bytes, tuple[int, int]]] = defaultdict(dict)  # a term of several sources is looked up once
             for (lang, source), per in words.items():
+                found = places[lang]
                 for term, n in per.items():
-                    shard = dealt(term, shards[lang])
-                    known = opened.get((lang, shard))
-                    at = -1 if known is None else known.slot(term)
+                    if term not in found:
+                        shard = dealt(term, shards[lang])
+                        known = opened.get((lang, shard))
+                        found[term] = shard, -1 if known is None else known.slot(term)
+                    shard, at = found[term]
                     if at >= 0:
                         counts = slots.get((lang, source, shard))
                         if counts is None:
-                            counts = slots[lang, source, shard] = np.zeros(len(known), dtype=np.int64)
+                            counts = slots[lang, source, shard] = np.zeros(len(opened[lang, shard]), dtype=np.int64)
                             held += len(counts)
                         counts[at] += n
                 if held > MOST_SLOTS:

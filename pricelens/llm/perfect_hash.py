@@ -17,7 +17,9 @@ import numpy as np
 import xxhash
 
 MASK = (1 << 64) - 1
-PER_BUCKET = 4
+PER_BUCKET = 2
+#: Displacements that are tried at once.
+TRIES = 64
 
 
 def two_hashes(key: bytes, seed: int = 0) -> tuple[int, int]:
@@ -25,10 +27,11 @@ def two_hashes(key: bytes, seed: int = 0) -> tuple[int, int]:
     return both & MASK, both >> 64
 
 
-def _slots(h: np.ndarray, move: int, n: int) -> np.ndarray:
-    """Slots of second hashes under one displacement."""
+def _slots(h: np.ndarray, first: int, n: int) -> np.ndarray:
+    """Slots of second hashes under TRIES displacements from ``first`` on, one row each."""
     with np.errstate(over="ignore"):
-        x = (h ^ np.uint64(move * 0x9E3779B97F4A7C15 & MASK)) * np.uint64(0xBF58476D1CE4E5B9)
+        moves = np.arange(first, first + TRIES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (h[None, :] ^ moves[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
     return ((x ^ (x >> np.uint64(31))) % np.uint64(n)).astype(np.int64)
 
 
@@ -93,14 +96,17 @@ def _placed(keys: list[bytes], seed: int, most_moves: int) -> tuple[list[int], l
         if len(members) < 2:
             continue
         own = second[members]
-        for move in range(most_moves):
-            at = _slots(own, move, n)
-            if not taken[at].any() and len(set(at.tolist())) == len(members):
+        for first in range(0, most_moves, TRIES):
+            tried = _slots(own, first, n)
+            apart = np.sort(tried, axis=1)
+            fits = np.flatnonzero(~taken[tried].any(axis=1) & (apart[:, 1:] != apart[:, :-1]).all(axis=1))
+            if len(fits):
                 break
         else:
             return None
+        at = tried[fits[0]]
         taken[at] = True
-        moves[j] = move
+        moves[j] = first + int(fits[0])
         for i, s in zip(members, at.tolist()):
             owner[s] = i
     for j, s in zip(single, np.flatnonzero(~taken).tolist()):
