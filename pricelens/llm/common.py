@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACES = " \t\n\u000b\u000c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
@@ -28,8 +30,33 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     executor costs its running tasks only.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Statements that run inside delete their shuffle files when they end: a written table needs them no more."""
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing will read again."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.settled_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_key(*cols: str | Column) -> list[Column]:

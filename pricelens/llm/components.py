@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import discard, settle
 
 
 def stars(edges: DataFrame) -> bool:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        edges = settle(small.where("a <> b").distinct(), "links")
+        done, edges = edges, settle(small.where("a <> b").distinct(), "links")
+        discard(done)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
 
 

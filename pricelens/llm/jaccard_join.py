@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, blocks, key_filter, row_key, settle
+from .common import KeyFilter, blocks, discard, key_filter, row_key, settle
 from .components import components, stars_of
 from .hashing import U, combine, join, mix, prefix, spans, words
 
@@ -154,7 +154,7 @@ def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def lists(posts: DataFrame) -> DataFrame:
-    """(list, cls, n, pos, leader, leader_n, leader_pos): lists that two classes share, with their leader (its smallest class).
+    """(list, cls, n, pos, leader, leader_n, leader_pos), settled: lists that two classes share, with their leader (its smallest class).
 
     Shingles with the same classes make one list; a class's position there is
     that of the first of them, which is the same shingle for all its classes.
@@ -170,7 +170,10 @@ def lists(posts: DataFrame) -> DataFrame:
     heads = heavy.groupBy("token").agg(F.min(head).alias("head"), F.max("cls").alias("last"), same.alias("same")).where("head.cls <> last")
     named = found.where("NOT heavy").drop("heavy").unionByName(heavy.join(heads, "token"))
     named = named.withColumn("list", F.xxhash64("head.cls", "last", "same"))
-    return named.groupBy("list", "cls", "n", F.col("head.cls").alias("leader"), F.col("head.n").alias("leader_n")).agg(F.min("pos").alias("pos"), F.min("head.pos").alias("leader_pos"))
+    out = named.groupBy("list", "cls", "n", F.col("head.cls").alias("leader"), F.col("head.n").alias("leader_n")).agg(F.min("pos").alias("pos"), F.min("head.pos").alias("leader_pos"))
+    out = settle(out, "lists")
+    discard(found)
+    return out
 
 
 def possible(n: Column, pos: Column, m: Column, at: Column) -> Column:
@@ -264,7 +267,7 @@ def linked() -> Column:
 
 
 def components_of(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2, n_shingles, cls and root of every row; rows of one root are connected.
+    """doc_id, k1, k2, n_shingles, cls and root of every row, settled; rows of one root are connected.
 
     Set of a document: distinct five-word shingles of its lower-cased words; with
     fewer words the whole sequence is one shingle; without words, or with null
@@ -275,9 +278,10 @@ def components_of(docs: DataFrame) -> DataFrame:
     rows = survey.where("chunk IS NULL").select("doc_id", "k1", "k2", "n", "cls")
     counts = sketch(survey.where("chunk IS NOT NULL"))
     classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cls", "k.k1", "k.k2")
-    shared = settle(lists(postings(docs, counts)), "lists")
+    shared = lists(postings(docs, counts))
     keys = settle(shared.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
     sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
+    discard(keys)
 
     def undecided(own: DataFrame) -> DataFrame:
         """Lists of ``own`` whose classes are not all connected, with each class's root."""
@@ -302,11 +306,13 @@ def components_of(docs: DataFrame) -> DataFrame:
     asked = open_.join(hubs, "list").where("root <> hub.root").where(possible(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
     asked = asked.select(F.greatest("cls", "hub.cls").alias("a"), F.least("cls", "hub.cls").alias("b")).distinct()
     more = settle(compared(sets, asked.join(answers, ["a", "b"], "left_anti")), "answers")
+    known = [answers, more]
     answers = answers.union(more)
     rooted = components(stars_of(rooted).union(more.where(linked()).select("a", "b")))
 
     # what these answers leave open; the distances to a list's leader bound the distance of two members
-    open_ = settle(undecided(open_), "open")
+    first, open_ = open_, settle(undecided(open_), "open")
+    discard(first, shared)
     long_lists = open_.groupBy("list").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > PAIRED).select("list")
     # long lists: all members of a leader's lists against each other, block by block
     members = settle(open_.join(long_lists, "list", "left_semi").select("leader", "cls", "root").distinct(), "members")
@@ -319,9 +325,13 @@ def components_of(docs: DataFrame) -> DataFrame:
     pairs = pairs.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("cls_").alias("a"), F.col("cls").alias("b")).distinct()
     short = compared(sets, pairs.join(answers, ["a", "b"], "left_anti")).where(linked()).select("a", "b")
     rooted = components(stars_of(rooted).union(short).union(block_links(sets, members)))
+    discard(sets, open_, members, *known)
     out = rows.join(rooted, F.col("cls") == F.col("node"), "left")
     some = F.col("n") > 0
-    return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(some, F.col("cls")).alias("cls"), F.when(some, F.coalesce("root", "cls")).alias("root"))
+    out = out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(some, F.col("cls")).alias("cls"), F.when(some, F.coalesce("root", "cls")).alias("root"))
+    out = settle(out, "rooted")
+    discard(survey)
+    return out
 
 
 def jaccard_join(docs: DataFrame) -> DataFrame:
@@ -332,7 +342,7 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     are linked with each other, other columns are ignored, an empty table gives
     no rows.
     """
-    rows = settle(components_of(docs), "rooted")
+    rows = components_of(docs)
     least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = rows.join(least, "root", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -343,7 +353,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Documents with an empty set are not linked and all stay.
     """
-    rows = settle(components_of(docs), "rooted")
+    rows = components_of(docs)
     best = rows.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k1", "k2")).alias("w"))
     stay = best.select(F.col("w.k1").alias("__w1"), F.col("w.k2").alias("__w2"))
     empty = rows.where("root IS NULL").select("k1", "k2").distinct()
