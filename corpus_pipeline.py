@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelens.llm import jaccard_join, line_dedup, mixing, nbsvm, packing
-from pricelens.llm.common import settle, table
+from pricelens.llm.common import discard, settle, table
 from pricelens.llm.queries import public_tokenizer
 
 ORACLE_SQL = None
@@ -53,5 +53,7 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        done, docs = docs, settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        if name != STAGES[0][0]:
+            discard(done)
     return docs
