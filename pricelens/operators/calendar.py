@@ -93,13 +93,19 @@ def remerge_calendar(current: DataFrame, caches: DataFrame, base: tuple[str, ...
 
 
 def calendar_changes(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows added to and removed from the calendar, as comparable text."""
+    """Rows added to and removed from the calendar, as comparable text.
+
+    The versions are one table with a sign; equal rows cancel in one grouped
+    sum, and what is left over comes out as often as it is left.
+    """
     flat = lambda df: df.select(
         "title", "date", "month", F.array_join("platforms", ",").alias("platforms"),
         F.to_json("urls").alias("urls"), "image", "slug_if_tracked")
-    added = flat(after).exceptAll(flat(before)).withColumn("change", F.lit("added"))
-    removed = flat(before).exceptAll(flat(after)).withColumn("change", F.lit("removed"))
-    return added.unionByName(removed)
+    signed = flat(after).withColumn("sign", F.lit(1)).unionByName(flat(before).withColumn("sign", F.lit(-1)))
+    cols = [c for c in signed.columns if c != "sign"]
+    left = signed.groupBy(*cols).agg(F.sum("sign").alias("left")).where(F.col("left") != 0)
+    again = F.explode(F.array_repeat(F.when(F.col("left") > 0, "added").otherwise("removed"), F.abs("left").cast("int")))
+    return left.select(*cols, again.alias("change"))
 
 
 def calendar_artwork(releases: DataFrame, minimum: float = 0.8) -> DataFrame:

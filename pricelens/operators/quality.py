@@ -208,12 +208,11 @@ def check_snapshots(rows: DataFrame, catalog: DataFrame, rates: DataFrame) -> Da
     native dollars at home, one row per region.
 
     ``rows`` holds slug, channel, pos, cc, currency, amount, list_amount,
-    discount_pct, sale_ends_at; ``pos`` is the stored order.
+    discount_pct, sale_ends_at; ``pos`` is the stored order, a number once in a pair.
     """
     single = F.col("channel").isin("xbox", "psn")
     pct = F.col("discount_pct")
     key = F.concat_ws("/", "slug", "channel", "cc")
-    pair = F.concat_ws("/", "slug", "channel")
     rules = {
         "price_not_positive": ~F.coalesce(F.col("amount") > 0, F.lit(False)),
         "pct_out_of_range": pct.isNotNull() & ~((pct > 0) & (pct <= 100)),
@@ -224,19 +223,49 @@ def check_snapshots(rows: DataFrame, catalog: DataFrame, rates: DataFrame) -> Da
         "us_not_native": (F.col("cc") == "US") & (F.col("currency") != "USD"),
         **{f"derived_{c}_stored": F.col(c).isNotNull() for c in DERIVED if c in rows.columns},
     }
-    per = rows.groupBy("slug", "channel").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if((F.col("cc") == "US") & (F.col("currency") == "USD")).alias("us"),
-        F.count_if(F.col("cc") == "US").alias("us_any"))
-    once = rows.groupBy("slug", "channel", "cc").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return union_all(
-        row_rules(rows, key, rules),
-        violation(per.where((F.col("channel") == "steam") & (F.col("us") == 0)), "steam_needs_us", pair),
-        violation(per.where(single & ((F.col("n") != 1) | (F.col("us_any") != 1))), "single_needs_one_us", pair, "n"),
-        violation(once, "duplicate_region", key, "n"),
-        violation(C.unsorted_rows(rows, ["slug", "channel"], "pos", ["cc"]), "regions_unsorted", pair),
-        violation(C.orphans(rows.select("slug", "channel").distinct(), catalog), "slug_not_in_catalog", pair),
-        check_currencies(rows, rates),
+    return union_all(row_rules(rows, key, rules), _snapshot_counts(rows, catalog, rates))
+
+
+def _snapshot_counts(rows: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
+    """The rules of ``check_snapshots`` that need more than one row, all from one aggregate.
+
+    A row is a fact of its pair (game, store), of its region there, of its
+    currency, of its own place in the stored order and of the place behind it.
+    Facts are counted by grain in one pass; every rule is a condition on the
+    counts of its grain.  The place behind is how a row meets its predecessor
+    without a join, so that the longest list lies in as many groups as it has rows.
+    """
+    none = F.lit(None)
+
+    def fact(grain: str, item: Column = none, pos: Column = none, slug: Column | str = "slug", channel: Column | str = "channel", own: bool = True) -> Column:
+        return F.struct(F.lit(grain).alias("grain"), X.col(slug).alias("slug"), X.col(channel).alias("channel"), item.cast("string").alias("item"),
+                        pos.cast("long").alias("at"), F.lit(own).alias("own"))
+
+    facts = F.explode(F.array(
+        fact("pair"), fact("region", F.col("cc")), fact("currency", F.col("currency"), slug=none.cast("string"), channel=none.cast("string")),
+        fact("place", pos=F.col("pos")), fact("place", pos=F.col("pos") + 1, own=False)))
+    us = F.col("cc") == "US"
+    per = rows.select("cc", "currency", facts.alias("f")).groupBy("f.grain", "f.slug", "f.channel", "f.item", "f.at").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(us & (F.col("currency") == "USD")).alias("us"), F.count_if(us).alias("us_any"),
+        F.max(F.when(F.col("f.own"), F.struct("cc"))).alias("here"), F.max(F.when(~F.col("f.own"), F.struct("cc"))).alias("before"))
+    known = catalog.select("slug").distinct().withColumn("known", F.lit(True))
+    priced = rates.where(F.col("rate") > 0).select(F.col("currency").alias("item")).distinct().withColumn("priced", F.lit(True))
+    per = per.join(known, "slug", "left").join(priced, "item", "left")
+    single, pair = F.col("channel").isin("xbox", "psn"), F.concat_ws("/", "slug", "channel")
+    grain = lambda name: F.col("grain") == name
+    n = F.col("n").cast("string")
+    rules = (
+        ("steam_needs_us", grain("pair") & (F.col("channel") == "steam") & (F.col("us") == 0), pair, none),
+        ("single_needs_one_us", grain("pair") & single & ((F.col("n") != 1) | (F.col("us_any") != 1)), pair, n),
+        ("slug_not_in_catalog", grain("pair") & F.col("known").isNull(), pair, none),
+        ("duplicate_region", grain("region") & (F.col("n") > 1), F.concat_ws("/", "slug", "channel", "item"), n),
+        ("regions_unsorted", grain("place") & (F.col("before") > F.col("here")), pair, none),
+        ("no_rate", grain("currency") & (F.col("item") != "USD") & F.col("priced").isNull(), F.col("item"), n),
     )
+    hits = F.array_compact(F.array(*[
+        F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(ERROR).alias("severity"), told.alias("key"), more.cast("string").alias("detail")))
+        for name, bad, told, more in rules]))
+    return per.select(F.explode(hits).alias("hit")).select("hit.*")
 
 
 def check_coverage(previous: DataFrame, current: DataFrame, catalog: DataFrame) -> DataFrame:
