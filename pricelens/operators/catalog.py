@@ -166,10 +166,16 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
 
 
 def apply_day_one(catalog: DataFrame, candidates: DataFrame, added_at: str) -> DataFrame:
-    """Append unknown store ids under their slug, or slug-id when it is taken.
+    """The appended rows of ``day_one``."""
+    return day_one(catalog, candidates, added_at)[0]
+
+
+def day_one(catalog: DataFrame, candidates: DataFrame, added_at: str) -> tuple[DataFrame, DataFrame]:
+    """(appended, rejects): unknown store ids under their slug, or slug-id when it is taken.
 
     A store id that comes more than once is appended once, under its smallest
-    slug.
+    slug.  A candidate whose fallback is taken as well, by the catalog or as
+    another one's slug, is a reject (steam_app_id, slug_hint, title, reason).
     """
     known = catalog.where(F.col("steam_app_id").isNotNull()).select("steam_app_id").distinct()
     fresh = candidates.join(known, "steam_app_id", "left_anti")
@@ -180,8 +186,14 @@ def apply_day_one(catalog: DataFrame, candidates: DataFrame, added_at: str) -> D
     plain = F.col("taken").isNull() & (F.col("steam_app_id") == F.col("first_id"))
     slug = F.when(plain, F.col("slug_hint")).otherwise(F.concat_ws("-", "slug_hint", F.col("steam_app_id").cast("string")))
     title = F.trim(F.regexp_replace(F.regexp_replace("title", "[™®©]", ""), r"\s+", " "))
-    return j.select(slug.alias("slug"), title.alias("title"), "steam_app_id", F.array(F.lit("pc")).alias("platforms"),
-                    F.lit("extended").alias("tier"), F.lit(added_at).alias("added_at"))
+    named = j.select(slug.alias("slug"), plain.alias("plain"), "slug_hint", title.alias("title"), "steam_app_id")
+    # slugs the catalog or a plain candidate holds; a fallback that is one of them has no place
+    held = catalog.select("slug").union(named.where("plain").select("slug")).distinct().withColumn("held", F.lit(True))
+    named = named.join(held, "slug", "left")
+    lost = ~F.col("plain") & F.col("held").isNotNull()
+    appended = named.where(~lost).select("slug", "title", "steam_app_id", F.array(F.lit("pc")).alias("platforms"),
+                                         F.lit("extended").alias("tier"), F.lit(added_at).alias("added_at"))
+    return appended, named.where(lost).select("steam_app_id", "slug_hint", "title", F.lit("slug_collision").alias("reason"))
 
 
 # ------------------------------------------------------------ decisions and state

@@ -38,12 +38,22 @@ def history_atl(history: DataFrame) -> DataFrame:
         "slug", "atl_key", F.col("a.usd").alias("usd"), F.col("a.date").try_cast("date").alias("date"), F.col("a.seed").alias("seed"))
 
 
+def _region():
+    named = {"cc": "cc", "currency": "currency", "amount": "amount", "list": "list_amount", "discountPct": "discount_pct", "saleEndsAt": "sale_ends_at"}
+    return [F.col(f"r.{old}").alias(new) for old, new in named.items()]
+
+
 def read_snapshots(spark: SparkSession, path: str, channel: str) -> DataFrame:
     """Price rows of all snapshot documents of one store, in stored order."""
     docs = spark.read.schema(SNAPSHOT_DDL).json(path, multiLine=True).withColumn("file_slug", _file_slug())
     return docs.select("slug", "file_slug", F.lit(channel).alias("channel"), F.posexplode("regions").alias("pos", "r")).select(
-        "slug", "file_slug", "channel", "pos", F.col("r.cc").alias("cc"), F.col("r.currency").alias("currency"), F.col("r.amount").alias("amount"),
-        F.col("r.list").alias("list_amount"), F.col("r.discountPct").alias("discount_pct"), F.col("r.saleEndsAt").alias("sale_ends_at"))
+        "slug", "file_slug", "channel", "pos", *_region())
+
+
+def read_documents(spark: SparkSession, path: str, channel: str) -> DataFrame:
+    """Price rows of documents kept many to a file, each with the file name (``game``) it stands for."""
+    docs = spark.read.schema(SNAPSHOT_DDL + ", game string").json(path)
+    return docs.select("slug", "game", F.lit(channel).alias("channel"), F.posexplode("regions").alias("pos", "r")).select("slug", "game", "channel", "pos", *_region())
 
 
 def misnamed_files(docs: DataFrame) -> DataFrame:

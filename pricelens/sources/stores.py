@@ -180,7 +180,7 @@ def xbox_prices(raw: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     flat = public.select(
         "big_id", "slug", "sku_id", "sku_title", price["CurrencyCode"].alias("currency"), X.round2(price["ListPrice"]).alias("amount"),
         _when(sale, X.round2(price["MSRP"])).alias("list_amount"), _when(sale, X.discount_pct(price["ListPrice"], price["MSRP"])).alias("discount_pct"),
-        _when(sale & (F.year(end) < 2100), end).alias("sale_ends_at"))
+        _when(sale, X.honest_sale_end(end)).alias("sale_ends_at"))
     # one row per distinct offer, then products with exactly one
     one = flat.distinct().groupBy("slug", "big_id").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("sku_id", "sku_title", "currency", "amount", "list_amount", "discount_pct", "sale_ends_at")).alias("o"))
