@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..functions import text as T
 from ..functions.ordering import first_per_key, group_row_number
+from ..session import ensure_checkpoint_dir
 from .changes import owner_conflicts
 
 NSUIDS = ("nsuid_americas", "nsuid_europe", "nsuid_japan")
@@ -135,8 +136,10 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
     ``candidates`` holds (seq, title, year, store_id).  Claims are settled in
     rounds over all candidates: the earliest ``seq`` claiming a free slug gets
     it.  A round is one aggregate per slug, so a slug claimed by very many
-    candidates is not gathered anywhere.
+    candidates is not gathered anywhere; its outcome is checkpointed, so that the
+    next round does not compute it again.
     """
+    ensure_checkpoint_dir(candidates.sparkSession)
     wanted = T.slugify("title", 72) if base is None else base
     open_ = candidates.withColumn("base", F.when(wanted != "", wanted).otherwise(F.concat(F.lit("game-"), F.col("store_id").cast("string"))))
     taken = catalog.select("slug").distinct()
@@ -150,10 +153,11 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
         asked = open_.withColumn("slug", claim)
         free = asked.where(F.col("slug").isNotNull()).join(taken, "slug", "left_anti")
         winners = free.groupBy("slug").agg(F.min("seq").alias("seq"))
-        won = open_.join(winners, "seq").select(*open_.columns, "slug")
+        settled = open_.join(winners, "seq", "left").select(*open_.columns, "slug").checkpoint()
+        won = settled.where(F.col("slug").isNotNull())
         done = won if done is None else done.unionByName(won)
-        taken = taken.unionByName(winners.select("slug"))
-        open_ = open_.join(winners.select("seq"), "seq", "left_anti")
+        taken = taken.unionByName(won.select("slug"))
+        open_ = settled.where(F.col("slug").isNull()).drop("slug")
     # what is left repeats both base and store id; (stem, counter) names a slug, so new counters are free
     stem = F.concat_ws("-", "base", F.col("store_id").cast("string"))
     rest = group_row_number(open_.withColumn("stem", stem), ["stem"], ["seq"], "n")
@@ -165,6 +169,34 @@ def dedupe_slugs(candidates: DataFrame, catalog: DataFrame, base: Column | None
     return done.unionByName(rest)
 
 
+def freeze_slugs(candidates: DataFrame, catalog: DataFrame, title_key=T.norm_title) -> DataFrame:
+    """Every candidate with its slug, or the reason it gets none.
+
+    ``candidates`` holds (seq, title, year, store_id, slug, catalog_action).  A
+    mapping keeps the slug it names, if that is a game of the catalog whose title
+    it matches; a new game starts from its own slug where that is well formed,
+    else from its title, and is told apart from the catalog and from all others
+    as in ``dedupe_slugs``.
+    """
+    action = F.col("catalog_action")
+    good = X.matches("slug", X.SLUG_SHAPE)
+    known = catalog.groupBy("slug").agg(F.min("title").alias("t_title"))
+    mapped = candidates.where(action == "add_platform_mapping").join(known, "slug", "left")
+    own = title_key("title")
+    fits = F.array_contains(T.edition_keys(own), title_key("t_title"))
+    reason = (
+        F.when(~good, "mapping_without_slug").when(F.col("t_title").isNull(), "mapping_target_missing")
+        .when((own == "") | ~F.coalesce(fits, F.lit(False)), "title_mismatch")
+    )
+    mapped = mapped.withColumn("reason", reason).select("seq", F.when(F.col("reason").isNull(), F.col("slug")).alias("slug"), "reason")
+    fresh = candidates.where(F.coalesce(action, F.lit("new_game")) == "new_game")
+    wanted = F.when(X.matches("hint", X.SLUG_SHAPE), F.col("hint")).otherwise(T.slugify("title", 72))
+    named = dedupe_slugs(fresh.withColumnRenamed("slug", "hint"), catalog, wanted).select("seq", "slug", F.lit(None).cast("string").alias("reason"))
+    other = candidates.where(~F.coalesce(action, F.lit("new_game")).isin("new_game", "add_platform_mapping")).select(
+        "seq", F.lit(None).cast("string").alias("slug"), F.lit("unsupported_action").alias("reason"))
+    return named.unionByName(mapped).unionByName(other)
+
+
 def apply_day_one(catalog: DataFrame, candidates: DataFrame, added_at: str) -> DataFrame:
     """The appended rows of ``day_one``."""
     return day_one(catalog, candidates, added_at)[0]

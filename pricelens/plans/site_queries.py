@@ -311,3 +311,30 @@ def day_one_rejects(spark, d):
     held = p.where(s == 2).select(F.explode(F.array(F.lit("taken"), F.concat(F.lit("taken-"), (F.col("p_partkey") + 700000).cast("string")))).alias("slug"), F.lit(None).cast("long").alias("steam_app_id"))
     cat = B.catalog(spark, d).select("slug", F.col("steam_app_id").cast("long").alias("steam_app_id")).unionByName(held)
     return M.day_one(cat, cands, B.AS_OF_DAY)[1].select("steam_app_id", "slug_hint", "reason")
+
+
+# candidates of a batch: mappings with a good target, a missing one, another title, an edition's title; new games with and without a slug of their own
+view("v_freeze", """
+SELECT p_partkey AS seq, p_size, CASE WHEN p_size = 2 THEN 'Other' WHEN p_size = 3 THEN concat(p_name, ' for Nintendo Switch') ELSE p_name END AS title,
+  CASE WHEN p_size % 2 = 0 THEN 2000 + p_size END AS year,
+  CASE WHEN p_size = 1 THEN concat('q', CAST(p_partkey AS VARCHAR)) WHEN p_size <= 4 THEN concat('p', CAST(p_partkey AS VARCHAR)) WHEN p_size = 5 THEN 'Not A Slug' WHEN p_size > 40 THEN 'shared-slug' END AS slug,
+  CASE WHEN p_size <= 5 THEN 'add_platform_mapping' WHEN p_size = 6 THEN 'rename' WHEN p_size % 3 <> 0 THEN 'new_game' END AS catalog_action FROM part
+""")
+
+
+@query("freeze_slugs", """
+WITH c AS (SELECT seq, year, coalesce(slug, replace(title, ' ', '-')) AS base FROM v_freeze WHERE coalesce(catalog_action, 'new_game') = 'new_game'),
+ r1 AS (SELECT base AS slug, min(seq) AS seq FROM c GROUP BY 1), l1 AS (SELECT * FROM c WHERE seq NOT IN (SELECT seq FROM r1)),
+ r2 AS (SELECT concat(base, '-', CAST(year AS VARCHAR)) AS slug, min(seq) AS seq FROM l1 WHERE year IS NOT NULL GROUP BY 1), l2 AS (SELECT * FROM l1 WHERE seq NOT IN (SELECT seq FROM r2))
+SELECT seq, slug, NULL::VARCHAR AS reason FROM r1 UNION ALL SELECT seq, slug, NULL FROM r2 UNION ALL SELECT seq, concat(base, '-', CAST(seq AS VARCHAR)), NULL FROM l2
+UNION ALL SELECT seq, CASE WHEN p_size IN (3, 4) THEN slug END, CASE p_size WHEN 1 THEN 'mapping_target_missing' WHEN 2 THEN 'title_mismatch' WHEN 5 THEN 'mapping_without_slug' END FROM v_freeze WHERE p_size <= 5
+UNION ALL SELECT seq, NULL, 'unsupported_action' FROM v_freeze WHERE p_size = 6
+""")
+def freeze_slugs(spark, d):
+    p, s, text = B.table(spark, d, "part"), F.col("p_size"), F.col("p_partkey").cast("string")
+    cands = p.select(
+        F.col("p_partkey").alias("seq"), F.when(s == 2, "Other").when(s == 3, F.concat("p_name", F.lit(" for Nintendo Switch"))).otherwise(F.col("p_name")).alias("title"),
+        F.when(s % 2 == 0, s + 2000).alias("year"), F.col("p_partkey").alias("store_id"),
+        F.when(s == 1, F.concat(F.lit("q"), text)).when(s <= 4, F.concat(F.lit("p"), text)).when(s == 5, "Not A Slug").when(s > 40, "shared-slug").alias("slug"),
+        F.when(s <= 5, "add_platform_mapping").when(s == 6, "rename").when(s % 3 != 0, "new_game").alias("catalog_action"))
+    return M.freeze_slugs(cands, B.catalog(spark, d))
