@@ -292,11 +292,27 @@ def fuzzy_title_search(queries: DataFrame, catalog: DataFrame, limit: int = 8) -
 
     Scoring runs over distinct titles; each brings at most ``limit`` games, so
     a title shared by very many games costs no more than any other.
+
+    Of a query's terms the one with the longest lists is read only to the first
+    ``limit`` titles of each list.  A title that matches another term too is
+    found by that one; titles that match this term alone differ by their best
+    word, and whatever stands before such a title in that word's list scores as
+    much, so nothing behind the first ``limit`` can be among the top.  A word
+    that every title holds thus never brings all titles to a query.  The titles
+    found are then scored by all terms.
     """
     asked = queries.select("query").distinct().select("query", F.explode(_terms("query")).alias("q"))
     titles = catalog.select("title").distinct().select("title", F.explode(_terms("title")).alias("t"))
     pairs = similar_terms(asked, titles)
-    best = asked.join(pairs, "q").join(titles, "t").groupBy("query", "title", "q").agg(F.max("quality").alias("quality"))
+    lists = pairs.join(titles.groupBy("t").agg(F.count(F.lit(1)).alias("df")), "t")
+    longest = asked.join(lists.groupBy("q").agg(F.sum("df").alias("size")), "q").groupBy("query").agg(F.max_by("q", F.struct("size", "q")).alias("most"))
+    reached = asked.join(pairs, "q").join(longest, "query")
+    heads = first_per_key(titles, ["t"], [F.col("title")], limit)
+    found = reached.where("q <> most").join(titles, "t").select("query", "title").union(
+        reached.where("q = most").join(heads, "t").select("query", "title")).distinct()
+    # a title's own words against the words the query reaches
+    best = found.join(titles, "title").join(reached.select("query", "q", "t", "quality"), ["query", "t"])
+    best = best.groupBy("query", "title", "q").agg(F.max("quality").alias("quality"))
     scored = best.groupBy("query", "title").agg(F.sum("quality").cast("bigint").alias("score"))
     order = [F.col("score").desc(), F.col("title")]
     top_titles = first_per_key(scored, ["query"], order, limit)

@@ -8,6 +8,7 @@ from pricelens.operators import calendar as C
 from pricelens.operators import catalog as M
 from pricelens.operators import evidence as E
 from pricelens.operators import imports as I
+from pricelens.operators import matching as MA
 from pricelens.operators import quality as Q
 from pricelens.operators import site as S
 
@@ -155,3 +156,35 @@ def test_versions_of_a_calendar_differ_as_multisets(spark):
     row = lambda t: (t, None, "2026-07", ["pc"], {"pc": "u"}, None, None)
     out = C.calendar_changes(spark.createDataFrame([row("a"), row("a"), row("b")], ddl), spark.createDataFrame([row("a"), row("c"), row("c")], ddl))
     assert sorted((r.title, r.change) for r in out.collect()) == [("a", "removed"), ("b", "removed"), ("c", "added"), ("c", "added")]
+
+
+def test_search_reads_the_longest_list_to_its_head_only(spark):
+    import random
+    import re
+
+    rng = random.Random(6)
+    words = ["the", "of", "star", "stars", "moon", "mooon", "sea", "seas"]
+    titles = sorted({" ".join(["the", *rng.sample(words[1:], rng.randint(0, 3)), rng.choice("abcdefgh") * rng.randint(1, 3)]) for _ in range(300)})
+    catalog = spark.createDataFrame([(t, f"g{i}") for i, t in enumerate(titles)], "title string, slug string")
+    queries = ["the", "the star", "of the sea", "moon", "mon", "the of", "stars moon sea the", "zzz"]
+    got = {}
+    for r in MA.fuzzy_title_search(spark.createDataFrame([(q,) for q in queries], "query string"), catalog, 4).collect():
+        got.setdefault(r.query, []).append((r.place, r.title, r.score))
+    split = lambda x: {w for w in re.split(r"[^a-z0-9]+", x.lower()) if w}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def quality(q, t):
+        k = int(len(q) * 0.2 + 0.5)
+        return 3 if q == t else 2 if t.startswith(q) else 1 if k and edits(q, t) <= k else 0
+
+    for query in queries:
+        scored = [(-sum(max(quality(q, t) for t in split(title)) for q in split(query)), title) for title in titles]
+        want = sorted(x for x in scored if x[0] < 0)[:4]
+        assert [(t, -s) for s, t in want] == [(t, s) for _, t, s in sorted(got.get(query, []))]
