@@ -10,7 +10,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,19 @@ def norm_title(title: ColumnLike) -> Column:
     return F.regexp_replace(folded, r"[^\p{L}\p{N}]+", "")
 
 
+def with_title_key(df: DataFrame, name: str = "title_key", title: str = "title", key=norm_title) -> DataFrame:
+    """Add a title's key; only rows whose title is not all ASCII go through Python.
+
+    A Python step takes every row of its input to a worker and back, even if it
+    has nothing to do there, so the rows are parted before it: a title of ASCII
+    letters has the plain key.  Other key functions are applied as they are.
+    """
+    if key is not norm_title:
+        return df.withColumn(name, key(title))
+    odd = F.coalesce(F.col(title).rlike(r"[^\x00-\x7F]"), F.lit(False))
+    return df.where(~odd).withColumn(name, norm_title_basic(title)).unionByName(df.where(odd).withColumn(name, norm_title(title)))
+
+
 # Suffixes that still name the same game, fixed values.
 EDITION_SUFFIXES = ("fornintendoswitch", "nintendoswitchedition")
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..functions.text import norm_title
+from ..functions.text import with_title_key
 
 ENTRY = ("title", "date", "month", "platform", "url", "image", "slug_if_tracked", "seq")
 
@@ -20,9 +20,9 @@ ENTRY = ("title", "date", "month", "platform", "url", "image", "slug_if_tracked"
 def usable_entries(entries: DataFrame, title_key: Column | None = None) -> DataFrame:
     """Entries with at least a month, a title, a platform and a url, keyed by
     title and day (or by month when the day is open)."""
-    key = norm_title("title") if title_key is None else title_key
+    slim = entries.select(*ENTRY)
     return (
-        entries.select(*ENTRY).withColumn("title_key", key)
+        (with_title_key(slim) if title_key is None else slim.withColumn("title_key", title_key))
         .where(F.col("month").isNotNull() & (F.col("title_key") != ""))
         .where(F.col("platform").isNotNull() & F.col("url").isNotNull())
         .withColumn("release_key", F.coalesce("date", F.concat("month", F.lit("-tbc"))))

@@ -251,7 +251,7 @@ def merge_sources(records: DataFrame, key: Column | None = None) -> tuple[DataFr
     rejected.  Evidence stays in the record table, keyed by title; only counts
     and the best priority are combined, so no evidence list grows with a title.
     """
-    keyed = records.withColumn("title_key", T.norm_title("title") if key is None else key)
+    keyed = T.with_title_key(records) if key is None else records.withColumn("title_key", key)
     facts = keyed.groupBy("title_key").agg(
         ((F.min("slug") != F.max("slug")) | (F.min("platform") != F.max("platform"))
          | F.coalesce(F.min("steam_app_id") != F.max("steam_app_id"), F.lit(False))).alias("conflict"),

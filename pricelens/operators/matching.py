@@ -23,11 +23,12 @@ def title_match(wanted: DataFrame, candidates: DataFrame, key=T.norm_title) -> D
     answers to its own key and to the key without a known edition suffix;
     empty keys never match.
     """
-    keyed = candidates.select("cand_id", F.explode(T.edition_keys(key("title"))).alias("title_key"))
+    named = T.with_title_key(candidates.select("cand_id", "title"), "own_key", key=key)
+    keyed = named.select("cand_id", F.explode(T.edition_keys("own_key")).alias("title_key"))
     per_key = keyed.groupBy("title_key").agg(
         F.count_distinct("cand_id").alias("n"), F.min("cand_id").alias("low"))
     return (
-        wanted.withColumn("title_key", key("title")).where(F.col("title_key") != "")
+        T.with_title_key(wanted, key=key).where(F.col("title_key") != "")
         .join(per_key, "title_key", "left")
         .select("id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_matches"),
                 F.when(F.col("n") == 1, F.col("low")).alias("match_id"))
@@ -36,10 +37,10 @@ def title_match(wanted: DataFrame, candidates: DataFrame, key=T.norm_title) -> D
 
 def exact_unique_suggestion(results: DataFrame, titles: DataFrame, key=T.norm_title) -> DataFrame:
     """Product id of a wanted title when exactly one game-type product has it."""
-    games = results.where(F.lower("kind") == "game").select("product_id", key("title").alias("title_key"))
+    games = T.with_title_key(results.where(F.lower("kind") == "game").select("product_id", "title"), key=key)
     one = games.where(F.col("title_key") != "").groupBy("title_key").agg(
         F.count_distinct("product_id").alias("n"), F.min("product_id").alias("product_id")).where(F.col("n") == 1)
-    return titles.withColumn("title_key", key("title")).join(one, "title_key").select("slug", "product_id")
+    return T.with_title_key(titles, key=key).join(one, "title_key").select("slug", "product_id")
 
 
 # ------------------------------------------------------------ store search results

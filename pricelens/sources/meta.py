@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..functions import text as T
+from ..functions.ordering import first_per_key
 from ..operators.matching import allowed_generations
 from . import landing as L
 from .feeds import eu_docs
@@ -186,8 +187,11 @@ def page_identity(pages: DataFrame, targets: DataFrame, as_of) -> DataFrame:
 
     Two blocks of a page are read independently and must agree.  ``pages`` is
     the landing table with the requested url as key; ``targets`` holds (slug,
-    title, platforms, url).
+    title, platforms, url).  A page that was landed several times is judged once,
+    on its newest landing.
     """
+    newest = [F.col("fetched_at").desc_nulls_last()] if "fetched_at" in pages.columns else []
+    pages = first_per_key(pages, ["key"], [*newest, F.col("final_url"), F.xxhash64("body")])
     asked = targets.withColumn("want", T.norm_title("title")).withColumn("allowed", allowed_generations())
     rows = pages.join(asked, pages["key"] == asked["url"]).withColumn("path", _path("url"))
     rows = rows.withColumn("product_slug", F.regexp_extract("url", r"^https://(?:www\.)?nintendo\.com/us/store/products/([a-z0-9]+(?:-[a-z0-9]+)*)/*$", 1))
