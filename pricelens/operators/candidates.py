@@ -235,13 +235,19 @@ def exclusivity(df: DataFrame) -> DataFrame:
     return df.withColumn("classification", cls).withColumn("conflict", conflict).withColumn("reason", reason)
 
 
+def suggestion_keys() -> list[Key]:
+    """Review order: exclusives first, evidenced before unverified, score, rank (none last)."""
+    weight = X.relabel("classification", {name: F.lit(w) for name, w in EXCLUSIVITY_WEIGHT.items()})
+    return keys_of([weight, "unverified", down("score"), F.col("rank").isNull(), "rank", "title", "candidate_id"])
+
+
 def rank_suggestions(df: DataFrame) -> DataFrame:
-    """Review order: exclusives first, evidenced before unverified, score, rank."""
-    weight = None
-    for name, w in EXCLUSIVITY_WEIGHT.items():
-        weight = F.when(F.col("classification") == name, w) if weight is None else weight.when(F.col("classification") == name, w)
-    return df.orderBy(
-        weight, F.col("unverified"), F.col("score").desc_nulls_last(), F.col("rank").asc_nulls_last(), "title", "candidate_id")
+    return df.orderBy(*[k.order() for k in suggestion_keys()])
+
+
+def placed_suggestions(df: DataFrame) -> DataFrame:
+    """Suggestions with their 1-based place in review order."""
+    return global_row_number(df, suggestion_keys(), "place")
 
 
 def merge_sources(records: DataFrame, key: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
-from ..functions.ordering import first_per_key
+from ..functions.ordering import down, first_per_key, global_row_number
 
 KEY = ("slug", "channel")
 
@@ -137,6 +137,11 @@ def recent_events(events: DataFrame, n: int = 4) -> DataFrame:
     return first_per_key(events, ["slug"], order, n, rank="place")
 
 
+def placed_history_log(events: DataFrame) -> DataFrame:
+    """The log with every event's 1-based place, newest first."""
+    return global_row_number(events, [down("d"), "slug", "channel"], "place")
+
+
 def price_history_log(events: DataFrame) -> DataFrame:
     return events.orderBy(F.col("d").desc(), "slug", "channel")
 

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..functions import text as T
 from ..operators import boards as BO
+from ..operators import candidates as CA
 from ..operators import catalog as M
 from ..operators import history as H
 from ..operators import site as S
 from ..session import ensure_checkpoint_dir
 from ..sources import files as FI
 from . import bindings as B
+from .candidate_queries import excl
 from .history_queries import events
 from .quality_queries import any_of, rule, told
 from .registry import query, view
@@ -338,3 +340,17 @@ def freeze_slugs(spark, d):
         F.when(s == 1, F.concat(F.lit("q"), text)).when(s <= 4, F.concat(F.lit("p"), text)).when(s == 5, "Not A Slug").when(s > 40, "shared-slug").alias("slug"),
         F.when(s <= 5, "add_platform_mapping").when(s == 6, "rename").when(s % 3 != 0, "new_game").alias("catalog_action"))
     return M.freeze_slugs(cands, B.catalog(spark, d))
+
+
+@query("placed_suggestions", """
+SELECT candidate_id, row_number() OVER (ORDER BY CASE classification WHEN 'official_exclusive_or_first_party' THEN 0 WHEN 'unverified' THEN 1 ELSE 2 END, rank > 45, score DESC, rank, title, candidate_id) AS place FROM v_excl2
+""")
+def placed_suggestions(spark, d):
+    """Every suggestion with its place in review order."""
+    return CA.placed_suggestions(excl(spark, d)).select("candidate_id", "place")
+
+
+@query("placed_history_log", "SELECT slug, channel, d, usd, row_number() OVER (ORDER BY d DESC, slug, channel) AS place FROM v_events")
+def placed_history_log(spark, d):
+    """Every change event with its place in the log."""
+    return H.placed_history_log(events(spark, d)).select("slug", "channel", "d", "usd", "place")
