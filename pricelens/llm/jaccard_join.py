@@ -183,7 +183,7 @@ def possible(n: Column, pos: Column, m: Column, at: Column) -> Column:
 
 
 def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(cls, set) of the documents whose row key is in ``keys`` (k1, k2, cls)."""
+    """(cls, set), once for each of ``keys`` (k1, k2, cls), whose row keys and classes both are unique."""
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(keys, "k1"))
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,8 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([piece.column("k1"), piece.column("k2"), sets], ["k1", "k2", "set"])
 
     found = keyed(docs).mapInArrow(shingled, "k1 long, k2 long, set array<long>")
-    return found.join(keys, ["k1", "k2"]).select("cls", "set")
+    # repeated rows meet where the join has put them, so they cost no shuffle of their own
+    return found.join(keys, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("cls", "set")
 
 
 def compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -280,7 +281,7 @@ def components_of(docs: DataFrame) -> DataFrame:
     classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cls", "k.k1", "k.k2")
     shared = lists(postings(docs, counts))
     keys = settle(shared.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
-    sets = settle(sets_of(docs, keys).dropDuplicates(["cls"]), "sets")
+    sets = settle(sets_of(docs, keys), "sets")
     discard(keys)
 
     def undecided(own: DataFrame) -> DataFrame:
