@@ -154,13 +154,37 @@ def usable(df: DataFrame, ident: str, vector: str) -> DataFrame:
     return rows.where(F.size("v") == (common.n if common else 0))
 
 
-def trial(rows: DataFrame, queries: DataFrame, postings: DataFrame, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place among a query's centroids and margin of the first list that holds a true neighbour, for all
-    neighbours of at most ``TRIALS`` queries.  One pass over the table, compared with the sample in memory."""
+def calibrated(q: np.ndarray, held: list[tuple[int, list[int]]], c: np.ndarray, links: np.ndarray, target: float = TARGET) -> tuple[int, float]:
+    """Centroids a query's walk keeps and squared distance beyond the nearest one's that it reads.
+
+    ``held`` names, for each true neighbour of a query (its row in ``q``), the
+    lists that hold it.  The walk that queries take is tried with ever more
+    centroids kept until it meets a list of enough of the neighbours; where it
+    would follow as many links as there are centroids it ranks them all.
+    """
+    if not held:
+        return 0, 0.0
+    beam = min(BEAM, len(c))
+    while True:
+        ids, dist = walk(q, c, links, beam)
+        places, margins = [], []
+        for i, lists in held:
+            met = np.flatnonzero(np.isin(ids[i], lists))
+            places.append(int(met[0]) if len(met) else len(c))
+            margins.append(float(dist[i, met[0]] - dist[i, 0]) if len(met) else np.inf)
+        width, margin = reach(np.array(places), np.array(margins), target)
+        if width <= beam or beam >= len(c):
+            return beam, margin
+        beam = min(2 * beam, len(c))
+
+
+def trial(rows: DataFrame, queries: DataFrame, postings: DataFrame, k: int) -> tuple[np.ndarray, list[tuple[int, list[int]]]]:
+    """At most ``TRIALS`` queries, and for each of their true neighbours the query's row and the lists that
+    hold the neighbour.  One pass over the table, compared with the sample in memory."""
     spark = rows.sparkSession
     some = queries.orderBy(F.xxhash64("id"), "id").limit(TRIALS).collect()
     if not some:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros((0, 0)), []
     q = np.array([r.v for r in some], dtype=np.float64)
     shared = spark.sparkContext.broadcast((np.array([r.id for r in some]), q))
 
@@ -184,10 +208,7 @@ def trial(rows: DataFrame, queries: DataFrame, postings: DataFrame, c: np.ndarra
     true = first_per_key(found, ["q"], [F.col("d"), F.col("id")], k).select("q", "id")
     # at most TRIALS * k pairs
     held = postings.select("list", "id").join(F.broadcast(true), "id").groupBy("q", "id").agg(F.collect_set("list").alias("lists")).collect()
-    d = squared(q, c)
-    order = np.argsort(np.argsort(d, axis=1, kind="stable"), axis=1, kind="stable")
-    places = np.array([order[r.q, r.lists].min() for r in held], dtype=np.int64)
-    return places, np.array([d[r.q, r.lists].min() - d[r.q].min() for r in held])
+    return q, [(r.q, r.lists) for r in held]
 
 
 def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -217,7 +238,8 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
     model = fitted(rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE), one, "n long, c binary")[0]
     c = np.frombuffer(bytes(model.c), dtype=np.float64).reshape(model.n, -1)
     # at most MOST_LISTS centroids and their links
-    shared = spark.sparkContext.broadcast((c, graph_of(c) if len(c) > 1 else np.zeros((1, 1), np.int64), squared(c, c)))
+    links = graph_of(c) if len(c) > 1 else np.zeros((1, 1), np.int64)
+    shared = spark.sparkContext.broadcast((c, links, squared(c, c)))
 
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, _, between = shared.value
@@ -238,7 +260,7 @@ def nearest(df: DataFrame, is_query, k: int = 10, ident: str = "vec_id", vector:
     own = np.array([sizes.get(i, (0, 0))[1] for i in range(len(c))])
 
     queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
-    width, margin = reach(*trial(rows, queries, postings, c, k)) if len(c) > BEAM else (0, 0.0)
+    width, margin = calibrated(*trial(rows, queries, postings, k), c, links) if len(c) > BEAM else (0, 0.0)
     width = max(BEAM, width)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -307,8 +307,25 @@ def test_nearest_against_brute_force(spark):
     assert ann.nearest(df.limit(0), lambda i: i % 100 == 0).count() == 0
 
 
-def test_nearest_over_several_hundred_lists(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ann, "PER_LIST", 50)
+def test_calibration_walks_as_queries_do(monkeypatch):
+    rng = np.random.default_rng(8)
+    c = rng.normal(size=(3000, 24))
+    links = ann.graph_of(c)
+    assert ann.BEAM * links.shape[1] < len(c)  # the graph is walked
+    q = rng.normal(size=(60, 24))
+    d = ann.squared(q, c)
+    held = [(i, [int(x)]) for i in range(len(q)) for x in np.argsort(d[i])[:20]]
+    beam, margin = ann.calibrated(q, held, c, links)
+    ids, dist = ann.walk(q, c, links, beam)
+    got = [bool(np.isin(ids[i], x).any()) and dist[i][np.isin(ids[i], x)][0] - dist[i, 0] <= margin for i, x in held]
+    assert np.mean(got) >= ann.TARGET
+    assert ann.calibrated(q[:0], [], c, links) == (0, 0.0)
+
+
+@pytest.mark.parametrize("per_list", [50, 10])
+def test_nearest_over_several_hundred_lists(spark, tmp_path, monkeypatch, per_list):
+    """Some hundred lists, all of which are ranked, and 3,000 lists, for which the graph is walked."""
+    monkeypatch.setattr(ann, "PER_LIST", per_list)
     x = np.random.default_rng(4).normal(size=(30_000, 48)).astype(np.float32)
     table = pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
     pq.write_table(table, tmp_path / "v.parquet")
