@@ -179,7 +179,8 @@ def line_dedup(docs: DataFrame, **options) -> DataFrame:
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """The documents with their lost lines cut out of ``text``, other columns unchanged.
 
-    A document that loses all its lines keeps its row with an empty text.
+    A document that loses all its lines keeps its row with an empty text; a null
+    text stays null; repeated rows lose the same lines; an empty table gives no rows.
     """
     cols = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -184,7 +184,11 @@ def quality(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFram
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
-    """The documents whose score reaches 0.3, all columns unchanged."""
+    """The documents whose score reaches 0.3, all columns unchanged.
+
+    A null or empty text has the score of the bias alone; repeated rows are kept
+    or go together; an empty table gives no rows; without labelled documents all stay.
+    """
     model = train(docs, labels, bound=bound)
     out = score(docs, model, ids=(), keep=tuple(docs.columns), named=("__score", "__predicted"))
     return out.where("__predicted = 1").select(*docs.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, conversation_repair, divergence, exact_dedup, jaccard_join, line_dedup, mixing, nbsvm, packing, quality_rules, repeats, toxicity, url_filter
 from .common import table
@@ -24,7 +25,8 @@ def query(name: str, sql: str | None = None):
 @query("op1_suffix_array_dedup")
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    # behind the contract's columns: whether the document holds any of the repeated strings
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("has_repeats"))
 
 
 @query("op2_toxicity")
