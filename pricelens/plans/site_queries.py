@@ -280,9 +280,7 @@ def history_files(spark, d):
     path = f"{ensure_checkpoint_dir(spark)}/history-{uuid.uuid4().hex}"
     event = F.struct(F.col("d").cast("string").alias("d"), F.col("channel").alias("ch"), F.lit("US").alias("cc"), "usd", "pct")
     events(spark, d).groupBy("slug").agg(F.array_sort(F.collect_list(event)).alias("events")).write.json(path)
-    # files of many documents, one a line; the reader takes files of one document too
-    docs = spark.read.schema(FI.HISTORY_DDL).json(path)
-    return FI.history_events(docs).select("slug", "channel", "d", "usd", "pct")
+    return FI.history_events(FI.read_history(spark, path, one_per_file=False)).select("slug", "channel", "d", "usd", "pct")
 
 
 @query("snapshot_files", "SELECT slug, channel, cc, currency, amount, list_amount, discount_pct, sale_ends_at, false AS misnamed FROM v_latest")

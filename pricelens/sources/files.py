@@ -22,9 +22,12 @@ def _file_slug():
     return F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All history documents with the slug their file is named after."""
-    return spark.read.schema(HISTORY_DDL).json(path, multiLine=True).withColumn("file_slug", _file_slug())
+def read_history(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """All history documents with the slug their file is named after.
+
+    Files hold one document each, laid out over several lines, or one on every line.
+    """
+    return spark.read.schema(HISTORY_DDL).json(path, multiLine=one_per_file).withColumn("file_slug", _file_slug())
 
 
 def history_events(history: DataFrame) -> DataFrame:
