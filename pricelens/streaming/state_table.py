@@ -15,6 +15,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Versions that stay readable: the newest and the one a retried batch starts from.
+KEPT_VERSIONS = 2
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str) -> None:
@@ -45,10 +48,9 @@ class VersionedTable:
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-
-#: Versions that stay readable: the newest and the one a retried batch starts from.
-KEPT_VERSIONS = 2
+        for version in self._versions()[:-KEPT_VERSIONS]:
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}")
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 class BucketedTable:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pricelens.streaming import health as SH
 from pricelens.streaming import prices as SP
-from pricelens.streaming.state_table import BucketedTable
+from pricelens.streaming.state_table import BucketedTable, VersionedTable
 
 OBS = "slug string, channel string, d date, usd double, pct int, observed_at timestamp"
 
@@ -107,3 +107,11 @@ def test_quota_counts_by_day_and_forgets_old_days(spark, tmp_path):
 def test_empty_first_batch(spark, tmp_path, n):
     for name, step in (("e", SP.change_events_step), ("a", SP.atl_step), ("d", SP.dedupe_step)):
         step(str(tmp_path / f"{name}s"), str(tmp_path / f"{name}o"), spark)(spark.createDataFrame([], OBS), n)
+
+
+def test_small_tables_keep_two_versions(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for n in range(5):
+        table.write(spark.range(n + 1), n)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v=3", "v=4"]
+    assert table.current().count() == 5 and table.before(4).count() == 4
