@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import expr as X
 from ..functions import text as T
 from .catalog import NSUIDS
 from .quality import row_rules, union_all, violation

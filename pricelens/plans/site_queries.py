@@ -208,8 +208,6 @@ SELECT *, (n - 1) // {SIZE} + 1 AS page FROM (SELECT o_orderpriority AS category
     rule("candidate_not_listed", "concat('gone', CAST(o_orderkey AS VARCHAR))", "v_paged WHERE o_custkey % 17 = 0"),
     rule("candidate_repeat", "concat('UP0001-PPSA', lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), '-GAME', lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))", "v_paged WHERE category LIKE '4%' AND o_custkey % 17 <> 0 AND o_orderkey % 19 = 0")))
 def category_pages(spark, d):
-    from pyspark.sql import Window
-
     o = B.table(spark, d, "orders").select(F.col("o_orderpriority").alias("category"), "o_orderkey", "o_custkey")
     totals = o.groupBy("category").agg(F.count(F.lit(1)).alias("total"))
     from ..functions.ordering import group_row_number

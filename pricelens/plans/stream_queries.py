@@ -43,24 +43,6 @@ def landed(df: DataFrame, time: str, cuts: Sequence[str], path: str, run: Callab
     return df.sparkSession.readStream.schema(df.schema).parquet(path) if run is None else out
 
 
-def finish(stream: DataFrame, home: str, sink: str) -> DataFrame:
-    """Run an append-mode stream over everything landed and read its files."""
-    spark = stream.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    SP.use_state_store(spark)
-    try:
-        q = stream.writeStream.format("parquet").option("path", f"{home}/{sink}").option(
-            "checkpointLocation", f"{home}/{sink}-checkpoint").trigger(availableNow=True).start()
-        q.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-    return spark.read.schema(stream.schema).parquet(f"{home}/{sink}")
-
-
 def finish_steps(stream: DataFrame, step, home: str, sink: str) -> DataFrame:
     """Run a ``foreachBatch`` function over everything landed and read what its batches wrote."""
     made = step(f"{home}/{sink}-state", f"{home}/{sink}", stream.sparkSession)
@@ -70,15 +52,6 @@ def finish_steps(stream: DataFrame, step, home: str, sink: str) -> DataFrame:
     return stream.sparkSession.read.parquet(f"{home}/{sink}").drop("v")
 
 
-def finish_table(stream: DataFrame, home: str, sink: str, mode: str) -> DataFrame:
-    """Run a complete-mode stream and keep its newest result table."""
-    table = VersionedTable(stream.sparkSession, f"{home}/{sink}")
-    q = stream.writeStream.foreachBatch(table.write).outputMode(mode).option(
-        "checkpointLocation", f"{home}/{sink}-checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return table.current()
-
-
 CUTS = ("1997-01-01", "1999-06-01")
 
 
