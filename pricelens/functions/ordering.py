@@ -3,6 +3,7 @@ table, in a single task."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -36,9 +37,28 @@ def down(value: ColumnLike) -> Key:
     return Key(value, True)
 
 
+#: How a column shows that it is a sort expression.
+SORT = re.compile(r"^Column<'(.*) (ASC|DESC) NULLS (FIRST|LAST)'>$", re.DOTALL)
+
+
 def keys_of(order: Sequence[Column | Key | str]) -> list[Key]:
-    """Sort keys; a plain column or name is ascending."""
-    return [k if isinstance(k, Key) else Key(k) for k in order]
+    """Sort keys; a plain column or name is ascending.
+
+    A sort expression such as ``F.col("x").desc()`` is taken apart by its text;
+    ``Key`` and ``down`` say the same without that.  Where its nulls are not at
+    the end that its direction puts them, their place is a key of its own.
+    """
+    keys: list[Key] = []
+    for k in order:
+        found = SORT.match(repr(k)) if isinstance(k, Column) else None
+        if found is None:
+            keys.append(k if isinstance(k, Key) else Key(k))
+            continue
+        value, descending, last = F.expr(found[1]), found[2] == "DESC", found[3] == "LAST"
+        if descending != last:
+            keys.append(Key(value.isNull(), not last))
+        keys.append(Key(value, descending))
+    return keys
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
@@ -112,8 +132,9 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     ``order`` must be unique inside a group, and the rows of ``df`` the same
     whenever it is read.
     """
+    order = keys_of(order)
     laid = ranged(df, [*keys, *order])
-    inside = Window.partitionBy("__range", *keys).orderBy(*[k.order() for k in keys_of(order)])
+    inside = Window.partitionBy("__range", *keys).orderBy(*[k.order() for k in order])
     counts = laid.groupBy("__range", *keys).agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__before", F.sum("__rows").over(before)).where(F.col("__before") > 0)

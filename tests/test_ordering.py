@@ -50,3 +50,9 @@ def test_nothing_runs_before_the_result(spark, rows):
     O.group_row_number(rows, ["g"], ["id"])
     assert spark.sparkContext.statusTracker().getJobIdsForGroup("lazy-positions") == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sort_expressions_are_keys_too(rows):
+    order = [F.col("name").asc_nulls_last(), F.col("x").desc_nulls_first(), F.coalesce("g", F.lit(0)).desc(), F.col("id").asc()]
+    want = {r.id: r.rn for r in rows.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert {r.id: r.rn for r in O.global_row_number(rows, order).collect()} == want
