@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def dedupe_observations(spark, d):
     daily = B.daily(spark, d).withColumn("observed_at", F.col("d").cast("timestamp"))
     twice = daily.unionByName(daily.withColumn("observed_at", F.col("observed_at") + F.expr("INTERVAL 6 HOURS")))
     return landed(twice.select("slug", "channel", "d", "usd", "observed_at"), "observed_at", CUTS, f"{home}/twice",
-                  lambda s: finish_steps(s, SP.dedupe_step, home, "once")).select("slug", "channel", "d", "usd")
+                  lambda s: finish_steps(s, partial(SP.dedupe_step, span=64), home, "once")).select("slug", "channel", "d", "usd")
 
 
 view("v_shown", """

@@ -129,21 +129,23 @@ def change_events_step(state: str, out: str, spark: SparkSession):
     return step
 
 
-def dedupe_step(state: str, out: str, spark: SparkSession, keep_days: int | None = None):
+def dedupe_step(state: str, out: str, spark: SparkSession, keep_days: int | None = None, span: int = 1):
     """``foreachBatch`` function: the first row of every (game, store, day), written under ``out``.
 
-    The seen keys are a log by day.  A batch probes the days it holds and appends
-    to them, so its cost does not depend on how many days are kept.  With
+    The seen keys are a log by day, ``span`` days to a bucket.  A batch probes the
+    buckets it holds and appends to them, so its cost does not depend on how many
+    days are kept; a backfill of years wants a longer span.  With
     ``keep_days``, days that many before the newest one are retired: their keys
     go, and rows that still come for them are not passed on but written under
     ``out``-retired.  Without it, every day is kept and no row is lost.
     """
-    seen = BucketedTable(spark, state, lambda: F.unix_date("d"))
+    seen = BucketedTable(spark, state, lambda: F.floor(F.unix_date("d") / span))
     keys = [*KEY, "d"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         index, touched = seen.before(batch_id), seen.touched(batch)
-        newest = max([*touched, *([index["clock"]] if index["clock"] is not None else [])], default=None)
+        latest = batch.agg(F.max(F.unix_date("d"))).first()[0]
+        newest = max((t for t in (latest, index["clock"]) if t is not None), default=None)
         edge = None if keep_days is None or newest is None else newest - keep_days
         fresh = batch.dropDuplicates(keys)
         if edge is not None:
@@ -154,7 +156,7 @@ def dedupe_step(state: str, out: str, spark: SparkSession, keep_days: int | None
             fresh = fresh.join(held, keys, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
         mine = spark.read.schema(batch.schema).parquet(f"{out}/v={batch_id}").select(*keys)
-        retired = [b for b in index["buckets"] if edge is not None and b < edge]
+        retired = [b for b in index["buckets"] if edge is not None and (b + 1) * span <= edge]
         seen.write(mine, batch_id, index, touched, append=True, clock=newest, drop=retired)
 
     return step
