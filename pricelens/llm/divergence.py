@@ -224,6 +224,7 @@ def compared(grid: DataFrame, hashes: DataFrame, top: int) -> DataFrame:
     def one(key: tuple, table: pa.Table, hashed: pa.Table) -> pa.Table:
         lang = key[0].as_py()
         known = unpacked(hashed.column("blob")[0].as_py())
+        table = table.sort_by("source")  # a pair is named the same way round in every shard, however its rows arrive
         sources, totals = table.column("source").to_pylist(), table.column("n").to_pylist()
         n_lang, v = table.column("n_lang")[0].as_py(), table.column("v")[0].as_py()
         counts = np.zeros((len(sources), len(known)), dtype=np.int64)
