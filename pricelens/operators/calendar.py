@@ -52,7 +52,7 @@ def merge_calendar(entries: DataFrame, title_key: Column | None = None) -> DataF
     # at most one row per platform and release from here on
     releases = per_platform.groupBy(*GROUP).agg(
         (F.bool_or(F.col("url_lo") != F.col("url_hi")) | (F.min("slug_lo") != F.max("slug_hi"))).alias("gate"),
-        F.collect_list(F.struct("platform", F.col("url_lo").alias("url"))).alias("links"),
+        F.array_sort(F.collect_list(F.struct("platform", F.col("url_lo").alias("url")))).alias("links"),
         F.min("head").alias("head"), F.min("art").alias("art"), F.min("slug_at").alias("slug_at"),
     ).withColumn("ambiguous", F.coalesce("gate", F.lit(False)))
 
@@ -96,11 +96,12 @@ def calendar_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows added to and removed from the calendar, as comparable text.
 
     The versions are one table with a sign; equal rows cancel in one grouped
-    sum, and what is left over comes out as often as it is left.
+    sum, and what is left over comes out as often as it is left.  Urls are
+    compared in the order of their platforms, whatever order a map holds them in.
     """
     flat = lambda df: df.select(
         "title", "date", "month", F.array_join("platforms", ",").alias("platforms"),
-        F.to_json("urls").alias("urls"), "image", "slug_if_tracked")
+        F.to_json(F.map_from_entries(F.array_sort(F.map_entries("urls")))).alias("urls"), "image", "slug_if_tracked")
     signed = flat(after).withColumn("sign", F.lit(1)).unionByName(flat(before).withColumn("sign", F.lit(-1)))
     cols = [c for c in signed.columns if c != "sign"]
     left = signed.groupBy(*cols).agg(F.sum("sign").alias("left")).where(F.col("left") != 0)
