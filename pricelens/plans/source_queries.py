@@ -108,7 +108,7 @@ SELECT slug, '9N' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS big_id, floor(
 FROM (SELECT concat('p', CAST(p_partkey AS VARCHAR)) AS slug, * FROM part) x WHERE p_type = 'PROMO' AND p_size <> 47 AND p_size NOT IN (1, 2, 3, 4, 5, 6, 7)
 """)
 def xbox_prices(spark, d):
-    p, s = B.table(spark, d, "part"), F.col("p_size")
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
     conditions = F.struct(
         F.lit("2001-01-01T00:00:00Z").alias("StartDate"), F.when(s == 1, "2001-02-01T00:00:00Z").otherwise("9998-12-30T00:00:00Z").alias("EndDate"),
         F.array(F.when(s == 2, "2").otherwise("1")).alias("ResourceSetIds"),
@@ -379,7 +379,7 @@ SELECT slug AS key, concat('UP0001-PPSA', lpad(CAST(p_partkey AS VARCHAR), 8, '0
 FROM (SELECT concat(title, ' ', CAST(p_partkey AS VARCHAR)) AS slug, title || ' ' || CAST(p_partkey AS VARCHAR) AS title, p_partkey, tier FROM v_catalog) x WHERE tier <> 'other'
 """)
 def psn_search_tiles(spark, d):
-    cat = B.catalog(spark, d)
+    cat = B.spread(B.catalog(spark, d).select("p_partkey", "title", "tier"), "p_partkey")
     title = F.concat_ws(" ", "title", F.col("p_partkey").cast("string"))
     pid = F.concat(F.lit("UP0001-PPSA"), F.lpad(F.col("p_partkey").cast("string"), 8, "0"), F.lit("-GAME"), F.lpad(F.col("p_partkey").cast("string"), 12, "0"))
 

@@ -156,14 +156,16 @@ def xbox_prices(raw: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
 
     Products are matched on id and title; all current public offers of a
     product must be the same one, otherwise it has no price.  A catalog id that
-    is not twelve capitals or digits maps nothing.
+    is not twelve capitals or digits maps nothing.  Opened products are far
+    larger than the files they come from, by which Spark would judge them small
+    enough to go through the driver, so they are joined by a merge.
     """
     mapped = catalog.where(F.col("xbox_big_id").rlike(r"^[A-Z0-9]{12}\z")).select(
         F.upper("xbox_big_id").alias("big_id"), "slug", T.norm_title("title").alias("want"))
     docs = raw.select(L.once(F.from_json("body", DISPLAY)).alias("doc"))
     products = docs.select(F.explode("doc.Products").alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")
     title = F.try_element_at("p.LocalizedProperties", F.lit(1))["ProductTitle"]
-    known = products.join(mapped, "big_id").withColumn("title_key", T.norm_title(title))
+    known = products.join(mapped.hint("merge"), "big_id").withColumn("title_key", T.norm_title(title))
     known = known.where((F.col("p.ProductKind") == "Game") & (F.col("want") != "") & (F.col("title_key") == F.col("want")))
     skus = known.select("big_id", "slug", "want", F.explode("p.DisplaySkuAvailabilities").alias("s"))
     sku_title = F.try_element_at("s.Sku.LocalizedProperties", F.lit(1))["SkuTitle"]
