@@ -70,7 +70,7 @@ def psn_cta(size, cents_col, kind):
 
 
 def psn_pages(spark, d):
-    p, s = B.table(spark, d, "part"), F.col("p_size")
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
     full = F.floor(F.col("p_retailprice") * 100 + 0.5).cast("bigint")
     sale = F.when(s > 25, F.floor(full * 0.75)).otherwise(full).cast("bigint")
     ctas = F.array(ref(F.lit("cta1")), ref(F.lit("cta2")), ref(F.lit("cta3")))
@@ -108,7 +108,7 @@ def psn_prices(spark, d):
 # ------------------------------------------------------------ dated console pages
 
 def dated_pages(spark, d):
-    p, s = B.table(spark, d, "part"), F.col("p_size")
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
     day = lambda shift: F.concat(F.date_add(F.lit("2001-06-01").cast("date"), s + shift).cast("string"), F.lit("T00:00:00Z"))
     art = F.array(F.struct(F.lit("IMAGE").alias("type"), F.lit("MASTER").alias("role"), F.lit("https://image.api.playstation.com/a.png").alias("url")))
     name = F.when(s == 1, F.concat(title_col(), F.lit(" Deluxe"))).otherwise(F.concat(title_col(), F.lit(" - Standard Edition")))
@@ -140,8 +140,8 @@ SELECT CAST(p_partkey + 1 AS INT) AS page, concat('UP0001-PPSA', lpad(CAST(p_par
 """)
 def psn_preorder_pages(spark, d):
     """A category of one-row pages, a page per part."""
-    p, s = B.table(spark, d, "part"), F.col("p_size")
-    total = p.agg(F.count(F.lit(1)).cast("int").alias("total")).withColumn("k", F.lit(1))
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
+    total = B.table(spark, d, "part").agg(F.count(F.lit(1)).cast("int").alias("total")).withColumn("k", F.lit(1))
     p = p.withColumn("k", F.lit(1)).join(F.broadcast(total), "k")
     row = F.col("p_partkey").cast("int")
     grid = F.struct(
@@ -174,7 +174,7 @@ LADDER = {
 @query("xbox_calendar_entries", "SELECT '9N' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS xbox_big_id, CASE p_size "
        + " ".join(f"WHEN {k} THEN '{v}'" for k, v in LADDER.items()) + " END AS reason, CASE WHEN p_size > 14 THEN '2001-09-15' END AS date FROM part")
 def xbox_calendar_entries(spark, d):
-    p, s = B.table(spark, d, "part"), F.col("p_size")
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
     big = F.concat(F.lit("9N"), F.lpad(key_text(), 10, "0"))
     name = F.concat(title_col(), F.when(s == 4, " DLC").otherwise(""))
     us = F.array(F.lit("US"), F.lit("CA"))
@@ -196,14 +196,14 @@ def xbox_calendar_entries(spark, d):
                     market("OriginalReleaseDate", F.when(s == 5, "9999-01-01T00:00:00Z").otherwise("2001-09-15T00:00:00Z")).alias("MarketProperties"),
                     F.when(s == 8, F.array(display, display)).otherwise(F.array(display)).alias("DisplaySkuAvailabilities"))
     raw = p.where(s != 14).select(F.to_json(F.struct(F.array(item).alias("Products"))).alias("body"))
-    cards = p.select(big.alias("big_id"), F.when(s == 3, "another").otherwise(F.upper(name)).alias("title"))
+    cards = B.table(spark, d, "part").select(big.alias("big_id"), F.when(s == 3, "another").otherwise(F.upper(name)).alias("title"))
     return CO.xbox_calendar_entries(raw, cards, B.catalog(spark, d), B.AS_OF).select("xbox_big_id", "reason", "date")
 
 
 # ------------------------------------------------------------ product page identity
 
 def us_pages(spark, d):
-    p, s = B.table(spark, d, "part"), F.col("p_size")
+    p, s = B.landed(spark, d, "part", "p_partkey"), F.col("p_size")
     slug = F.concat(F.lit("g-"), key_text())
     nsuid = F.concat(F.lit("7001"), F.lpad(key_text(), 10, "0"))
     path = F.concat(F.lit("/us/store/products/"), slug, F.lit("/"))

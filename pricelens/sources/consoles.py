@@ -108,10 +108,14 @@ def _hero(images: Column) -> Column:
 
 
 def xbox_calendar_entries(raw: DataFrame, cards: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
-    """Dated release of every listed card, or the first test it fails."""
+    """Dated release of every listed card, or the first test it fails.
+
+    Opened products are far larger than Spark expects from their files, so they
+    are joined by a merge and never broadcast.
+    """
     docs = raw.select(L.once(F.from_json("body", PRODUCTS)).alias("doc"))
     products = docs.select(F.explode("doc.Products").alias("p")).select(F.upper("p.ProductId").alias("big_id"), "p")
-    j = cards.select("big_id", F.col("title").alias("card_title")).join(products, "big_id", "left")
+    j = cards.select("big_id", F.col("title").alias("card_title")).join(products.hint("merge"), "big_id", "left")
     j = j.withColumn("loc", _us_local(F.col("p.LocalizedProperties"))).withColumn("title", F.trim("loc.ProductTitle"))
     j = j.withColumn("day", _calendar_day(_us(F.col("p.MarketProperties"))["OriginalReleaseDate"]))
     pre = F.filter(F.coalesce("p.DisplaySkuAvailabilities", F.array()), lambda d: (d["Sku"]["SkuType"] == "full")
