@@ -10,6 +10,11 @@ compared with one leader only.  The leader's answers then serve the whole list:
 classes linked to it are connected and need no more comparison among themselves,
 and the distances to the leader bound the distance of any other two (the Jaccard
 distance is a metric).  Only pairs that these answers leave open are compared.
+
+A class carries a signature: one parity bit for each of about n slots its
+shingles fall into.  Two signatures differ in no more bits than the sets do in
+shingles, so a pair whose signatures differ too much is no link.  Sets, which
+are longer than the texts, are fetched for the pairs that pass only.
 """
 
 from __future__ import annotations
@@ -34,6 +39,7 @@ LIGHT = 10_000
 #: Undecided lists up to this length are paired member by member; members of longer ones meet in blocks.
 PAIRED, BLOCK = 32, 256
 CLASS_SEEDS = (U(0x5851F42D4C957F2D), U(0x14057B7EF767814F))
+SIGNATURE_SEED = U(0x2545F4914F6CDD1D)
 
 
 def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -75,14 +81,26 @@ def class_ids(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(sums(mix(hashes ^ CLASS_SEEDS[0]), at) ^ mix(sums(mix(hashes ^ CLASS_SEEDS[1]), at) + sizes)).view(np.int64)
 
 
+def signatures(hashes: np.ndarray, at: np.ndarray) -> pa.ListArray:
+    """Parity bits of every set in words of 64; their number is a power of two, n at least, and folds to the one below."""
+    n = np.diff(at)
+    bits = np.int64(1) << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    first = np.cumsum(bits) - bits
+    owner = np.repeat(np.arange(len(n)), n)
+    slot = (mix(hashes ^ SIGNATURE_SEED) & (bits[owner] - 1).astype(U)).astype(np.int64)
+    odd = (np.bincount(first[owner] + slot, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(bits >> 6)]).astype(np.int32)), pa.array(words))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", *row_key("doc_id", "text"), F.col("text").cast("binary").alias("__text"))
 
 
 def surveyed(docs: DataFrame) -> DataFrame:
-    """One row per document (doc_id, k1, k2, n, cls), and each task's part of the sketch in chunks."""
-    names = ["doc_id", "k1", "k2", "n", "cls", "chunk", "task", "counts"]
-    types = [pa.int64()] * 7 + [pa.binary()]
+    """One row per document (doc_id, k1, k2, n, cls, sig), and each task's part of the sketch in chunks."""
+    names = ["doc_id", "k1", "k2", "n", "cls", "sig", "chunk", "task", "counts"]
+    types = [pa.int64()] * 5 + [pa.list_(pa.int64())] + [pa.int64()] * 2 + [pa.binary()]
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
@@ -92,16 +110,16 @@ def surveyed(docs: DataFrame) -> DataFrame:
             hashes, at = shingle_sets(texts)
             cell, times = np.unique(hashes >> U(64 - SKETCH_BITS), return_counts=True)
             counts[cell.astype(np.int64)] += times
-            rows = [*[piece.column(c) for c in names[:3]], pa.array(np.diff(at)), pa.array(class_ids(hashes, at))]
-            yield pa.RecordBatch.from_arrays([*rows, *[pa.nulls(len(texts), t) for t in types[5:]]], names)
+            rows = [*[piece.column(c) for c in names[:3]], pa.array(np.diff(at)), pa.array(class_ids(hashes, at)), signatures(hashes, at)]
+            yield pa.RecordBatch.from_arrays([*rows, *[pa.nulls(len(texts), t) for t in types[6:]]], names)
         task = TaskContext.get().partitionId()
         for k in range(1 << SKETCH_BITS - CHUNK_BITS):
             part = counts[k << CHUNK_BITS: (k + 1) << CHUNK_BITS]
             if part.any():
-                values = [None] * 5 + [k, task, zlib.compress(part.tobytes(), 1)]
+                values = [None] * 6 + [k, task, zlib.compress(part.tobytes(), 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
-    return settle(keyed(docs).mapInArrow(survey, "doc_id long, k1 long, k2 long, n long, cls long, chunk long, task long, counts binary"), "survey")
+    return settle(keyed(docs).mapInArrow(survey, "doc_id long, k1 long, k2 long, n long, cls long, sig array<long>, chunk long, task long, counts binary"), "survey")
 
 
 def sketch(parts: DataFrame) -> np.ndarray:
@@ -200,12 +218,46 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return found.join(keys, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("cls", "set")
 
 
-def compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, common, either): sizes of intersection and union of the sets of distinct class pairs."""
-    left, right = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
+def differing(one: Column, other: Column) -> Column:
+    """Number of bits that differ in two signatures; sizes of linked sets lie so near that one is at most twice as long."""
+    def folded(own: Column, size: Column) -> Column:
+        halves = F.zip_with(F.slice(own, F.lit(1), size), F.slice(own, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > size, halves).otherwise(own)
+
+    bits = F.zip_with(folded(one, F.size(other)), folded(other, F.size(one)), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+
+
+def likely(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the class pairs (a, b), of compatible sizes, that their signatures leave open; no link is lost.
+
+    Sets of n and m shingles are linked if at most (n + m) * (100 - t) / (100 + t) are in one of them only.
+    """
+    left, right = (classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"g{c}")) for c in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.where((100 + PERCENT) * differing(F.col("ga"), F.col("gb")).cast("long") <= (100 - PERCENT) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def fetched(docs: DataFrame, classes: DataFrame, cls: DataFrame) -> DataFrame:
+    """(cls, set) of the classes in ``cls``, settled."""
+    keys = settle(cls.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
+    sets = settle(sets_of(docs, keys), "sets")
+    discard(keys)
+    return sets
+
+
+def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, common, either), settled: sizes of intersection and union of the sets of distinct class pairs.
+
+    Pairs that cannot be linked by their signatures are left out.
+    """
+    near = settle(likely(classes, pairs), "near")
+    sets = fetched(docs, classes, near.select(F.explode(F.array("a", "b")).alias("cls")))
+    left, right = sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), sets.select(F.col("cls").alias("b"), F.col("set").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return both.select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("either"))
+    out = settle(near.join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (F.size("sa") + F.size("sb") - common).alias("either")), "answers")
+    discard(near, sets)
+    return out
 
 
 def overlaps(one: np.ndarray, rows: np.ndarray, n_rows: int, left: np.ndarray, right: np.ndarray, step: int = 4096) -> np.ndarray:
@@ -278,11 +330,10 @@ def components_of(docs: DataFrame) -> DataFrame:
     survey = surveyed(docs)
     rows = survey.where("chunk IS NULL").select("doc_id", "k1", "k2", "n", "cls")
     counts = sketch(survey.where("chunk IS NOT NULL"))
-    classes = rows.where("n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("k")).select("cls", "k.k1", "k.k2")
     shared = lists(postings(docs, counts))
-    keys = settle(shared.select("cls").distinct().join(classes, "cls").select("k1", "k2", "cls"), "wanted")
-    sets = settle(sets_of(docs, keys), "sets")
-    discard(keys)
+    # equal sets have one signature, so it changes nothing in the order
+    one = survey.where("chunk IS NULL AND n > 0").groupBy("cls").agg(F.min(F.struct("k1", "k2", "n", "sig")).alias("k")).select("cls", "k.*")
+    classes = settle(one.join(shared.select("cls").distinct(), "cls"), "classes")
 
     def undecided(own: DataFrame) -> DataFrame:
         """Lists of ``own`` whose classes are not all connected, with each class's root."""
@@ -293,20 +344,20 @@ def components_of(docs: DataFrame) -> DataFrame:
     # every class with the leaders of its lists
     met = possible(F.col("n"), F.col("pos"), F.col("leader_n"), F.col("leader_pos")) & (F.col("cls") != F.col("leader"))
     asked = shared.where(met).select(F.col("cls").alias("a"), F.col("leader").alias("b")).distinct()
-    answers = settle(compared(sets, asked), "answers")
+    answers = compared(docs, classes, asked)
     rooted = components(answers.where(linked()).select("a", "b"))
     distance = answers.select(F.col("a").alias("cls"), F.col("b").alias("leader"), (1 - F.col("common") / F.col("either")).alias("d"))
     open_ = settle(undecided(shared).join(distance, ["cls", "leader"], "left"), "open")
 
     # a leader may lie at the rim of its group: the class nearest to it is asked too, and the nearest
-    # one among those that are still apart from it
-    hub = F.when(F.col("d").isNotNull(), F.struct("d", "cls", "n", "pos", "root"))
+    # one among those that are still apart from it; one that its signature kept off counts as far
+    hub = F.when(met, F.struct(F.coalesce("d", F.lit(1.0)).alias("d"), "cls", "n", "pos", "root"))
     hubs = open_.groupBy("list", "root").agg(F.min(hub).alias("hub"), F.max(F.col("cls") == F.col("leader")).alias("own"))
     hubs = hubs.groupBy("list").agg(F.min("hub").alias("hub"), F.min(F.when(~F.col("own"), F.col("hub"))).alias("apart"))
     hubs = hubs.select("list", F.explode(F.array_compact(F.array_distinct(F.array("hub", "apart")))).alias("hub"))
     asked = open_.join(hubs, "list").where("root <> hub.root").where(possible(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos")))
     asked = asked.select(F.greatest("cls", "hub.cls").alias("a"), F.least("cls", "hub.cls").alias("b")).distinct()
-    more = settle(compared(sets, asked.join(answers, ["a", "b"], "left_anti")), "answers")
+    more = compared(docs, classes, asked.join(answers, ["a", "b"], "left_anti"))
     known = [answers, more]
     answers = answers.union(more)
     rooted = components(stars_of(rooted).union(more.where(linked()).select("a", "b")))
@@ -324,9 +375,15 @@ def components_of(docs: DataFrame) -> DataFrame:
     gap = F.coalesce(F.abs(F.col("d") - F.col("d_")), F.lit(0.0))
     pairs = left.join(right, ["list", "block"]).where("cls < cls_ AND root <> root_").where(possible(F.col("n"), F.col("pos"), F.col("n_"), F.col("pos_")))
     pairs = pairs.where(gap <= 1 - PERCENT / 100 + 1e-9).select(F.col("cls_").alias("a"), F.col("cls").alias("b")).distinct()
-    short = compared(sets, pairs.join(answers, ["a", "b"], "left_anti")).where(linked()).select("a", "b")
-    rooted = components(stars_of(rooted).union(short).union(block_links(sets, members)))
-    discard(sets, open_, members, *known)
+    short = compared(docs, classes, pairs.join(answers, ["a", "b"], "left_anti"))
+    known.append(short)
+    links = stars_of(rooted).union(short.where(linked()).select("a", "b"))
+    if not members.isEmpty():
+        sets = fetched(docs, classes, members)
+        known.append(sets)
+        links = links.union(block_links(sets, members))
+    rooted = components(links)
+    discard(classes, open_, members, *known)
     out = rows.join(rooted, F.col("cls") == F.col("node"), "left")
     some = F.col("n") > 0
     out = out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(some, F.col("cls")).alias("cls"), F.when(some, F.coalesce("root", "cls")).alias("root"))
