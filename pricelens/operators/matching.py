@@ -62,12 +62,14 @@ def generation(codes: str, systems: str) -> Column:
     hac = F.exists(upper, lambda c: c.contains("HAC")) | F.exists(
         lower, lambda s: s.rlike(r"nintendo\s+switch") & ~s.rlike(second))
     bee = F.exists(upper, lambda c: c.contains("BEE")) | F.exists(lower, lambda s: s.rlike(second))
-    return F.when(hac & ~bee, "HAC").when(bee & ~hac, "BEE")
+    # each test stands here once, so it runs once a row; an unknown one gives null
+    return F.get(F.array(F.lit(None).cast("string"), F.lit("HAC"), F.lit("BEE")), hac.cast("int") + 2 * bee.cast("int"))
 
 
 def one_base_nsuid(ids: str) -> Column:
     base = F.array_distinct(F.filter(F.coalesce(F.col(ids), F.array()), lambda i: i.rlike(X.NSUID_SHAPE)))
-    return F.when(F.size(base) == 1, F.try_element_at(base, F.lit(1)))
+    # the ids are bound to a name, so they are found once a row
+    return F.get(F.transform(F.array(base), lambda b: F.when(F.size(b) == 1, F.get(b, F.lit(0)))), F.lit(0))
 
 
 def released_by(release: str, as_of) -> Column:
@@ -135,16 +137,21 @@ def resolve_region_match(docs: DataFrame, targets: DataFrame, region: str, sella
     )
 
 
-def enrichment_reason(as_of) -> Column:
-    """First failed test of a search document; null when it is usable."""
+def enrichment_reason(as_of, nsuid: Column | None = None, gen: Column | None = None) -> Column:
+    """First failed test of a search document; null when it is usable.
+
+    ``nsuid`` and ``gen`` are the document's own where they are known already.
+    """
+    nsuid = one_base_nsuid("nsuids") if nsuid is None else nsuid
+    gen = generation("codes", "systems") if gen is None else gen
     removed = F.coalesce(F.lower(F.col("removed").cast("string")).isin("true", "1"), F.lit(False))
     return (
         F.when(~F.coalesce(F.upper("type") == "GAME", F.lit(False)), "not_game")
-        .when(one_base_nsuid("nsuids").isNull(), "base_nsuid_missing_or_ambiguous")
+        .when(nsuid.isNull(), "base_nsuid_missing_or_ambiguous")
         .when(removed, "eshop_removed")
         .when(~released_by("release", as_of), "not_released")
         .when(~positive_price(), "paid_digital_evidence_missing")
-        .when(generation("codes", "systems").isNull(), "generation_missing_or_conflicting")
+        .when(gen.isNull(), "generation_missing_or_conflicting")
     )
 
 
@@ -154,18 +161,21 @@ def resolve_enrichment(docs: DataFrame, targets: DataFrame, owners: DataFrame, a
     ``docs`` carries the slug of the target it was fetched for; ``owners``
     holds (nsuid, owner).
     """
-    wanted = targets.select("slug", key("title").alias("want"))
-    judged = (
-        docs.join(wanted, "slug")
-        .withColumn("exact", F.array_contains(T.edition_keys(key("title")), F.col("want")) & (F.col("want") != ""))
-        .withColumn("why", F.when(~F.col("exact"), "title_mismatch").otherwise(enrichment_reason(as_of)))
-        .withColumn("nsuid", one_base_nsuid("nsuids")).withColumn("gen", generation("codes", "systems"))
-    )
-    audit = judged.groupBy("slug").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("exact").alias("n_exact"))
-    products = judged.where(F.col("why").isNull()).groupBy("slug", "nsuid", "gen").agg(F.count(F.lit(1)).alias("c"))
-    one = products.groupBy("slug").agg(F.count(F.lit(1)).alias("n"), F.min("nsuid").alias("nsuid"), F.min("gen").alias("gen"))
+    wanted = T.with_title_key(targets.select("slug", "title"), "want", key=key).drop("title")
+    # judged and reduced before the join: what is left to it is whether the title is the wanted one
+    own = F.struct(one_base_nsuid("nsuids").alias("nsuid"), generation("codes", "systems").alias("gen"))
+    found = T.with_title_key(docs, "__key", key=key).withColumn("p", F.explode(F.array(own)))
+    usable = enrichment_reason(as_of, F.col("p.nsuid"), F.col("p.gen")).isNull()
+    found = found.select("slug", F.col("__key").alias("title_key"), F.when(usable, F.col("p")).alias("p"))
+    found = found.groupBy("slug", "title_key", "p.nsuid", "p.gen").agg(F.count(F.lit(1)).alias("c")).join(wanted, "slug")
+    exact = F.array_contains(T.edition_keys("title_key"), F.col("want")) & (F.col("want") != "")
+    # products of other titles are none
+    found = found.select("slug", "c", exact.alias("exact"), *[F.when(exact, F.col(x)).alias(x) for x in ("nsuid", "gen")])
+    products = found.groupBy("slug", "nsuid", "gen").agg(F.sum("c").alias("c"), F.sum(F.when(F.col("exact"), F.col("c")).otherwise(0)).alias("c_exact"))
+    one = products.groupBy("slug").agg(
+        F.sum("c").alias("n_docs"), F.sum("c_exact").alias("n_exact"), F.count("nsuid").alias("n"), F.min("nsuid").alias("nsuid"), F.min("gen").alias("gen"))
     owned = owners.groupBy("nsuid").agg(F.min("owner").alias("owner"))
-    j = targets.select("slug").join(audit, "slug", "left").join(one, "slug", "left").join(owned, "nsuid", "left")
+    j = targets.select("slug").join(one, "slug", "left").join(owned, "nsuid", "left")
     exact = F.coalesce("n_exact", F.lit(0))
     n = F.coalesce("n", F.lit(0))
     reason = (
