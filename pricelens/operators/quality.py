@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -226,46 +226,60 @@ def check_snapshots(rows: DataFrame, catalog: DataFrame, rates: DataFrame) -> Da
     return union_all(row_rules(rows, key, rules), _snapshot_counts(rows, catalog, rates))
 
 
+#: Stored rows of a pair that are looked at together.
+CHUNK = 1024
+
+
+def _unsorted(rows: DataFrame) -> DataFrame:
+    """Rows (slug, channel, cc, pos) that stand behind a row of a greater region.
+
+    A list is cut into chunks, so that a long one lies in many groups; the first
+    row of a chunk is also the last one of the chunk before.
+    """
+    chunk = F.floor(F.col("pos") / CHUNK).cast("long")
+    chunks = F.when(F.pmod(F.col("pos"), F.lit(CHUNK)) == 0, F.array(chunk - 1, chunk)).otherwise(F.array(chunk))
+    # a missing region sorts first
+    by = Window.partitionBy("slug", "channel", "chunk").orderBy("pos")
+    seen = rows.select("slug", "channel", "pos", F.struct("cc").alias("here"), F.explode(chunks).alias("chunk"))
+    seen = seen.withColumns({"before": F.lag("here").over(by), "at": F.lag("pos").over(by)})
+    return seen.where((F.col("at") == F.col("pos") - 1) & (F.col("before") > F.col("here")))
+
+
 def _snapshot_counts(rows: DataFrame, catalog: DataFrame, rates: DataFrame) -> DataFrame:
-    """The rules of ``check_snapshots`` that need more than one row, all from one aggregate.
+    """The rules of ``check_snapshots`` that need more than one row.
 
-    A row is a fact of its pair (game, store), of its region there, of its
-    currency, of its own place in the stored order and of the place behind it.
-    Facts are counted by grain in one pass; every rule is a condition on the
-    counts of its grain.  The place behind is how a row meets its predecessor
-    without a join, so that the longest list lies in as many groups as it has rows.
+    A row is a fact of its pair (game, store), of its region there and of its
+    currency.  Facts are counted by grain in one pass; every rule is a condition
+    on the counts of its grain.  Only the stored order needs rows side by side.
     """
-    none = F.lit(None)
+    none = F.lit(None).cast("string")
 
-    def fact(grain: str, item: Column = none, pos: Column = none, slug: Column | str = "slug", channel: Column | str = "channel", own: bool = True) -> Column:
-        return F.struct(F.lit(grain).alias("grain"), X.col(slug).alias("slug"), X.col(channel).alias("channel"), item.cast("string").alias("item"),
-                        pos.cast("long").alias("at"), F.lit(own).alias("own"))
+    def fact(grain: str, item: Column = none, slug: Column | str = "slug", channel: Column | str = "channel") -> Column:
+        return F.struct(F.lit(grain).alias("grain"), X.col(slug).alias("slug"), X.col(channel).alias("channel"), item.cast("string").alias("item"))
 
-    facts = F.explode(F.array(
-        fact("pair"), fact("region", F.col("cc")), fact("currency", F.col("currency"), slug=none.cast("string"), channel=none.cast("string")),
-        fact("place", pos=F.col("pos")), fact("place", pos=F.col("pos") + 1, own=False)))
+    facts = F.explode(F.array(fact("pair"), fact("region", F.col("cc")), fact("currency", F.col("currency"), slug=none, channel=none)))
     us = F.col("cc") == "US"
-    per = rows.select("cc", "currency", facts.alias("f")).groupBy("f.grain", "f.slug", "f.channel", "f.item", "f.at").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(us & (F.col("currency") == "USD")).alias("us"), F.count_if(us).alias("us_any"),
-        F.max(F.when(F.col("f.own"), F.struct("cc"))).alias("here"), F.max(F.when(~F.col("f.own"), F.struct("cc"))).alias("before"))
+    # counts only, which Spark adds up in hash tables
+    per = rows.select("cc", "currency", facts.alias("f")).groupBy("f.grain", "f.slug", "f.channel", "f.item").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(us & (F.col("currency") == "USD")).alias("us"), F.count_if(us).alias("us_any"))
     known = catalog.select("slug").distinct().withColumn("known", F.lit(True))
     priced = rates.where(F.col("rate") > 0).select(F.col("currency").alias("item")).distinct().withColumn("priced", F.lit(True))
-    per = per.join(known, "slug", "left").join(priced, "item", "left")
     single, pair = F.col("channel").isin("xbox", "psn"), F.concat_ws("/", "slug", "channel")
     grain = lambda name: F.col("grain") == name
     n = F.col("n").cast("string")
+    # most regions are single and break no rule: they go before the joins
+    per = per.where(~grain("region") | (F.col("n") > 1)).join(known, "slug", "left").join(priced, "item", "left")
     rules = (
         ("steam_needs_us", grain("pair") & (F.col("channel") == "steam") & (F.col("us") == 0), pair, none),
         ("single_needs_one_us", grain("pair") & single & ((F.col("n") != 1) | (F.col("us_any") != 1)), pair, n),
         ("slug_not_in_catalog", grain("pair") & F.col("known").isNull(), pair, none),
         ("duplicate_region", grain("region") & (F.col("n") > 1), F.concat_ws("/", "slug", "channel", "item"), n),
-        ("regions_unsorted", grain("place") & (F.col("before") > F.col("here")), pair, none),
         ("no_rate", grain("currency") & (F.col("item") != "USD") & F.col("priced").isNull(), F.col("item"), n),
     )
     hits = F.array_compact(F.array(*[
-        F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(ERROR).alias("severity"), told.alias("key"), more.cast("string").alias("detail")))
+        F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(ERROR).alias("severity"), told.alias("key"), more.alias("detail")))
         for name, bad, told, more in rules]))
-    return per.select(F.explode(hits).alias("hit")).select("hit.*")
+    return per.select(F.explode(hits).alias("hit")).select("hit.*").unionByName(violation(_unsorted(rows), "regions_unsorted", pair))
 
 
 def check_coverage(previous: DataFrame, current: DataFrame, catalog: DataFrame) -> DataFrame:
