@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import expr as X
 from ..functions import text as T
 from ..operators.changes import track_slug
+from . import landing as L
 
 SPECIALS = (
     "struct<specials: struct<items: array<struct<id: bigint, name: string, discounted: boolean, discount_percent: int, "
@@ -115,7 +116,7 @@ COMING = (
 
 def steam_calendar(raw: DataFrame, catalog: DataFrame) -> DataFrame:
     """Upcoming games with a readable release month."""
-    apps = raw.select(F.explode(F.from_json("body", COMING)).alias("app", "e")).select(F.col("app").try_cast("bigint").alias("steam_app_id"), "e.data.*")
+    apps = L.id_entries(raw, COMING, "app", "e").select(F.col("app").try_cast("bigint").alias("steam_app_id"), "e.data.*")
     good = apps.where((F.col("type") == "game") & F.col("release_date.coming_soon") & ~T.junk_title("name"))
     date, month = T.parse_release("release_date.date")
     rows = good.select(
@@ -147,6 +148,6 @@ def outside_game_ids(raw: DataFrame) -> DataFrame:
 
 def outside_lows(raw: DataFrame) -> DataFrame:
     """Lowest price an outside tracker has seen; giveaways are no price."""
-    g = raw.select(F.explode(F.from_json("body", CHEAPEST)).alias("game_id", "e"))
+    g = L.id_entries(raw, CHEAPEST, "game_id", "e")
     price, at = F.col("e.cheapestPriceEver.price").try_cast("double"), F.col("e.cheapestPriceEver.date")
     return g.select("game_id", price.alias("usd"), F.when(at > 0, F.timestamp_seconds(at).cast("date")).alias("date")).where(F.col("usd") > 0)

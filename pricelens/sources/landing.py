@@ -8,7 +8,7 @@ rows with a reason instead of dropping them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import ColumnLike, col
@@ -26,6 +26,32 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+# A document that is one object whose first name is a plain number.
+FIRST_ID = r'^[ \t\r\n]*\{[ \t\r\n]*"([0-9]{1,19})"[ \t\r\n]*:'
+
+
+def first_id(body: ColumnLike) -> tuple[Column, Column]:
+    """The first name of a body keyed by ids, and the body with that name left empty.
+
+    The JSON reader keeps the names it has met in a table, which it copies
+    whenever a body brings a new one: with an id per body that costs more than
+    the body.  A body with many ids copies the table once.  Other bodies stay
+    as they are and have no first id.
+    """
+    head = F.regexp_extract(F.substring(col(body), 1, 64), FIRST_ID, 0)
+    rest = F.substr(col(body), F.length(head) + 1)
+    own = F.when(head != "", F.regexp_extract(head, "[0-9]+", 0))
+    return own, F.when(head != "", F.concat(F.lit('{"":'), rest)).otherwise(col(body))
+
+
+def id_entries(raw: DataFrame, schema: str, name: str, value: str, *keep: ColumnLike) -> DataFrame:
+    """One row per entry of bodies that are an object keyed by ids."""
+    own, body = first_id("body")
+    entries = raw.select(*keep, own.alias("__id"), F.posexplode(F.from_json(body, schema)).alias("__at", "__name", value))
+    first = (F.col("__at") == 0) & (F.col("__name") == "")
+    return entries.withColumn(name, F.when(first, F.coalesce("__id", "__name")).otherwise(F.col("__name"))).drop("__id", "__at", "__name")
+
+
 def script_body(html: ColumnLike, attribute: str) -> Column:
     """Text of the first script tag carrying the given attribute pattern."""
     return F.regexp_extract(col(html), rf"(?is)<script\b(?=[^>]*\b{attribute})[^>]*>(.*?)</script>", 1)

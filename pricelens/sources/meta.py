@@ -21,7 +21,7 @@ REVIEWS = "struct<query_summary: struct<total_reviews: bigint, total_positive: b
 
 def steam_meta(details: DataFrame, reviews: DataFrame, catalog: DataFrame) -> DataFrame:
     """Details and review summary of every app; landing keys are app ids."""
-    d = details.select(F.explode(F.from_json("body", DETAILS)).alias("app", "e")).select(
+    d = L.id_entries(details, DETAILS, "app", "e").select(
         F.col("app").try_cast("bigint").alias("steam_app_id"), F.col("e.data").alias("d"), F.lit(True).alias("__d"))
     r = reviews.select(F.col("key").try_cast("bigint").alias("steam_app_id"), F.from_json("body", REVIEWS)["query_summary"].alias("q"))
     games = catalog.where(F.col("steam_app_id").isNotNull()).select("slug", "title", "steam_app_id")

@@ -28,7 +28,7 @@ def steam_prices(raw: DataFrame) -> DataFrame:
     The landing key is the region.  An app without a usable price keeps its row
     with a null amount: the store answered and does not sell it there.
     """
-    entries = raw.select(F.upper("key").alias("cc"), F.explode(F.from_json("body", APP_PRICES)).alias("app", "e"))
+    entries = L.id_entries(raw, APP_PRICES, "app", "e", F.upper("key").alias("cc"))
     p = F.col("e.data.price_overview")
     ok = F.col("e.success") & p["final"].isNotNull()
     sale = ok & (F.coalesce(p["discount_percent"], F.lit(0)) > 0)
@@ -70,7 +70,7 @@ def steam_package_prices(raw: DataFrame, offers: DataFrame) -> DataFrame:
     A package whose name, page text or app set no longer is what was reviewed
     is refused; ``no_price`` means the store answered without a price.
     """
-    entries = raw.select(F.upper("key").alias("cc"), F.explode(F.from_json("body", PACKAGES)).alias("pkg", "e"))
+    entries = L.id_entries(raw, PACKAGES, "pkg", "e", F.upper("key").alias("cc"))
     j = entries.withColumn("package_id", F.col("pkg").try_cast("bigint")).join(offers, "package_id")
     d = F.col("e.data")
     price = d["price"]
