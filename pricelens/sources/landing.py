@@ -33,9 +33,8 @@ FIRST_ID = r'^[ \t\r\n]*\{[ \t\r\n]*"([0-9]{1,19})"[ \t\r\n]*:'
 def first_id(body: ColumnLike) -> tuple[Column, Column]:
     """The first name of a body keyed by ids, and the body with that name left empty.
 
-    The JSON reader keeps the names it has met in a table, which it copies
-    whenever a body brings a new one: with an id per body that costs more than
-    the body.  A body with many ids copies the table once.  Other bodies stay
+    The JSON reader is slow on names it has not met before, and ids are such
+    names in nearly every body.  Later names stay; bodies of another shape stay
     as they are and have no first id.
     """
     head = F.regexp_extract(F.substring(col(body), 1, 64), FIRST_ID, 0)
