@@ -30,25 +30,31 @@ def once(value: Column) -> Column:
 FIRST_ID = r'^[ \t\r\n]*\{[ \t\r\n]*"([0-9]{1,19})"[ \t\r\n]*:'
 
 
-def first_id(body: ColumnLike) -> tuple[Column, Column]:
+def id_head(body: ColumnLike) -> Column:
+    """A body's text up to its first name, if that is an id, else empty."""
+    return F.regexp_extract(F.substring(col(body), 1, 64), FIRST_ID, 0)
+
+
+def first_id(body: ColumnLike, head: Column | None = None) -> tuple[Column, Column]:
     """The first name of a body keyed by ids, and the body with that name left empty.
 
     The JSON reader is slow on names it has not met before, and ids are such
     names in nearly every body.  Later names stay; bodies of another shape stay
-    as they are and have no first id.
+    as they are and have no first id.  ``head`` is ``id_head`` where known.
     """
-    head = F.regexp_extract(F.substring(col(body), 1, 64), FIRST_ID, 0)
+    head = id_head(body) if head is None else head
     rest = F.substr(col(body), F.length(head) + 1)
-    own = F.when(head != "", F.regexp_extract(head, "[0-9]+", 0))
+    own = F.when(head != "", F.split_part(head, F.lit('"'), F.lit(2)))
     return own, F.when(head != "", F.concat(F.lit('{"":'), rest)).otherwise(col(body))
 
 
 def id_entries(raw: DataFrame, schema: str, name: str, value: str, *keep: ColumnLike) -> DataFrame:
     """One row per entry of bodies that are an object keyed by ids."""
-    own, body = first_id("body")
-    entries = raw.select(*keep, own.alias("__id"), F.posexplode(F.from_json(body, schema)).alias("__at", "__name", value))
+    own, body = first_id("__body", F.col("__head"))
+    heads = raw.select(*keep, F.col("body").alias("__body"), once(id_head("body")).alias("__head"))
+    entries = heads.select(*[c for c in heads.columns if c != "__body"], F.posexplode(F.from_json(body, schema)).alias("__at", "__name", value))
     first = (F.col("__at") == 0) & (F.col("__name") == "")
-    return entries.withColumn(name, F.when(first, F.coalesce("__id", "__name")).otherwise(F.col("__name"))).drop("__id", "__at", "__name")
+    return entries.withColumn(name, F.when(first, F.coalesce(own, "__name")).otherwise(F.col("__name"))).drop("__head", "__at", "__name")
 
 
 def script_body(html: ColumnLike, attribute: str) -> Column:
