@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, blocks, discard, key_filter, row_key, settle
+from .common import SMALL, KeyFilter, blocks, discard, key_filter, row_key, settle
 from .components import components, stars_of
 from .hashing import U, combine, join, mix, prefix, spans, words
 
@@ -38,6 +38,8 @@ SKETCH_BITS, CHUNK_BITS, FAN_IN = 22, 16, 64
 LIGHT = 10_000
 #: Undecided lists up to this length are paired member by member; members of longer ones meet in blocks.
 PAIRED, BLOCK = 32, 256
+#: Tasks that postings are dealt to, for each shuffle partition of the session.
+SPLIT = 4
 CLASS_SEEDS = (U(0x5851F42D4C957F2D), U(0x14057B7EF767814F))
 SIGNATURE_SEED = U(0x2545F4914F6CDD1D)
 
@@ -105,18 +107,18 @@ def surveyed(docs: DataFrame) -> DataFrame:
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        for piece, texts in blocks(batches, "__text"):
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        for piece, texts in blocks(batches, "__text", SMALL):
             hashes, at = shingle_sets(texts)
             cell, times = np.unique(hashes >> U(64 - SKETCH_BITS), return_counts=True)
-            counts[cell.astype(np.int64)] += times
+            counts[cell.astype(np.int64)] += times.astype(np.uint32)
             rows = [*[piece.column(c) for c in names[:3]], pa.array(np.diff(at)), pa.array(class_ids(hashes, at)), signatures(hashes, at)]
             yield pa.RecordBatch.from_arrays([*rows, *[pa.nulls(len(texts), t) for t in types[6:]]], names)
         task = TaskContext.get().partitionId()
         for k in range(1 << SKETCH_BITS - CHUNK_BITS):
             part = counts[k << CHUNK_BITS: (k + 1) << CHUNK_BITS]
             if part.any():
-                values = [None] * 6 + [k, task, zlib.compress(part.tobytes(), 1)]
+                values = [None] * 6 + [k, task, zlib.compress(part.astype(np.int64).tobytes(), 1)]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
     return settle(keyed(docs).mapInArrow(survey, "doc_id long, k1 long, k2 long, n long, cls long, sig array<long>, chunk long, task long, counts binary"), "survey")
@@ -150,7 +152,7 @@ def postings(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in blocks(batches, "__text"):
+        for _, texts in blocks(batches, "__text", SMALL):
             hashes, at = shingle_sets(texts)
             ids, n = class_ids(hashes, at), np.diff(at)
             # copies within the block post once
@@ -179,8 +181,10 @@ def lists(posts: DataFrame) -> DataFrame:
     """
     head = F.struct("cls", "n", "pos")
     same = F.sum(F.xxhash64("cls").bitwiseAND((1 << 40) - 1))
+    # a task holds its rows twice, as distinct ones and in order, so there are more and smaller tasks than elsewhere
+    tasks = SPLIT * int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the sketch bounds the lists of one task; the others are spread over the tasks and summed up below
-    spread = posts.withColumn("part", F.when(F.col("heavy"), F.col("cls")).otherwise(F.lit(0).cast("long"))).repartition("token", "part").distinct()
+    spread = posts.withColumn("part", F.when(F.col("heavy"), F.col("cls")).otherwise(F.lit(0).cast("long"))).repartition(tasks, "token", "part").distinct()
     own = Window.partitionBy("token", "part")
     found = spread.select("*", F.min(head).over(own).alias("head"), F.max("cls").over(own).alias("last"), same.over(own).alias("same"))
     found = settle(found.where("heavy OR head.cls <> last").drop("part"), "posts")
@@ -208,7 +212,7 @@ def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
         wanted: KeyFilter = shared.value
         for batch in batches:
             batch = batch.filter(pa.array(wanted.may_hold(batch.column("k1").to_numpy())))
-            for piece, texts in blocks(iter([batch]), "__text"):
+            for piece, texts in blocks(iter([batch]), "__text", SMALL):
                 hashes, at = shingle_sets(texts)
                 sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([piece.column("k1"), piece.column("k2"), sets], ["k1", "k2", "set"])

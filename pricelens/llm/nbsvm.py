@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, fitted, held_out, labelled_sample, without
+from .common import SMALL, blocks, fitted, held_out, labelled_sample, without
 from .hashing import U, combine, join, prefix, spans, words
 
 BITS = 18
@@ -68,10 +68,11 @@ def indicators(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_count_ratio(slots: list[np.ndarray], y: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """log of the smoothed share of each indicator among positives over that among negatives."""
-    flat, label = np.concatenate(slots), np.repeat(y, [len(s) for s in slots])
-    p = smooth + np.bincount(flat[label == 1], minlength=SLOTS)
-    q = smooth + np.bincount(flat[label == 0], minlength=SLOTS)
+    """log of the smoothed share of each indicator among positives over that among negatives; a text's slots are distinct."""
+    p, q = np.full(SLOTS, smooth), np.full(SLOTS, smooth)
+    for own, label in zip(slots, y):
+        if label in (0, 1):
+            (p if label else q)[own] += 1
     return np.log((p / p.sum()) / (q / q.sum()))
 
 
@@ -133,15 +134,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int
     """Fit on at most ``bound`` labelled documents outside the held-out fold."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, texts in blocks(batches, "text"):
+        for piece, texts in blocks(batches, "text", SMALL):
             slot, at = indicators(texts)
             packed = [slot[a:b].astype(np.int32).tobytes() for a, b in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("y"), pa.array(packed, pa.binary())], ["doc_id", "y", "slots"])
 
     def one(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        slots = [np.frombuffer(x, dtype=np.int32) for x in table.column("slots").to_pylist()]
-        m = fit(slots, table.column("y").to_numpy())
+        # views in order of id: the sample's slots stay where they came in
+        order, packed = np.argsort(table.column("doc_id").to_numpy(), kind="stable"), table.column("slots")
+        slots = [np.frombuffer(packed[int(i)].as_buffer(), dtype=np.int32) for i in order]
+        m = fit(slots, table.column("y").to_numpy()[order])
         return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [m.bias], "slope": [m.slope], "shift": [m.shift]})
 
     got = fitted(labelled_sample(docs, labels, label, bound).mapInArrow(sets, "doc_id long, y int, slots binary"), one,
@@ -166,10 +168,10 @@ def score(docs: DataFrame, model: Model, ids: tuple[str, ...] = ("doc_id",), tex
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for piece, texts in blocks(batches, "__text"):
+        for piece, texts in blocks(batches, "__text", SMALL):
             slot, at = indicators(texts)
-            sums = np.concatenate([[0.0], np.cumsum(m.weights[slot], dtype=np.float64)])
-            margin = sums[at[1:]] - sums[at[:-1]] + m.bias
+            # each text summed by itself, so that its score is the same in any block
+            margin = np.array([m.weights[slot[a:b]].sum(dtype=np.float64) for a, b in zip(at, at[1:])]) + m.bias
             p = 1.0 / (1.0 + np.exp(-np.clip(m.slope * margin + m.shift, -30, 30)))
             arrays, names = without(piece, "__text")
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(p), pa.array((p >= least).astype(np.int32))], [*names, *named])
