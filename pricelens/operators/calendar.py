@@ -109,6 +109,12 @@ def calendar_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return left.select(*cols, again.alias("change"))
 
 
+def change_counts(changes: DataFrame) -> DataFrame:
+    """Number of added and of removed rows; a kind without any counts zero."""
+    kinds = ("added", "removed")
+    return changes.agg(*[F.count_if(F.col("change") == k).alias(k) for k in kinds]).unpivot([], list(kinds), "change", "n")
+
+
 def calendar_artwork(releases: DataFrame, minimum: float = 0.8) -> DataFrame:
     good = F.coalesce(F.col("image").rlike("^https://"), F.lit(False))
     return releases.agg(

@@ -89,7 +89,7 @@ def calendar_changes(spark, d):
     rel = B.releases(spark, d)
     before = C.merge_calendar(rel.where(F.col("platform").isin("pc", "switch")))
     after = C.merge_calendar(rel)
-    return C.calendar_changes(before, after).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
+    return C.change_counts(C.calendar_changes(before, after))
 
 
 @query("union_entries", """
