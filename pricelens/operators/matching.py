@@ -72,8 +72,13 @@ def one_base_nsuid(ids: str) -> Column:
     return F.get(F.transform(F.array(base), lambda b: F.when(F.size(b) == 1, F.get(b, F.lit(0)))), F.lit(0))
 
 
-def released_by(release: str, as_of) -> Column:
-    return F.coalesce(F.try_to_timestamp(F.col(release)) <= X.moment(as_of), F.lit(False))
+def released_by(release: str, as_of, others: str | None = None) -> Column:
+    """Whether the release has come; where its text is no date, the first of ``others`` (a list) that is one counts."""
+    at = F.try_to_timestamp(F.col(release))
+    if others is not None:
+        dated = F.filter(F.transform(others, lambda t: F.try_to_timestamp(t)), lambda t: t.isNotNull())
+        at = F.coalesce(at, F.get(dated, F.lit(0)))
+    return F.coalesce(at <= X.moment(as_of), F.lit(False))
 
 
 def positive_price(lowest: str = "price_lowest", regular: str = "price_regular") -> Column:
@@ -137,10 +142,11 @@ def resolve_region_match(docs: DataFrame, targets: DataFrame, region: str, sella
     )
 
 
-def enrichment_reason(as_of, nsuid: Column | None = None, gen: Column | None = None) -> Column:
+def enrichment_reason(as_of, nsuid: Column | None = None, gen: Column | None = None, releases: str | None = None) -> Column:
     """First failed test of a search document; null when it is usable.
 
-    ``nsuid`` and ``gen`` are the document's own where they are known already.
+    ``nsuid`` and ``gen`` are the document's own where they are known already,
+    ``releases`` the list of its further release dates, if it has one.
     """
     nsuid = one_base_nsuid("nsuids") if nsuid is None else nsuid
     gen = generation("codes", "systems") if gen is None else gen
@@ -149,31 +155,44 @@ def enrichment_reason(as_of, nsuid: Column | None = None, gen: Column | None = N
         F.when(~F.coalesce(F.upper("type") == "GAME", F.lit(False)), "not_game")
         .when(nsuid.isNull(), "base_nsuid_missing_or_ambiguous")
         .when(removed, "eshop_removed")
-        .when(~released_by("release", as_of), "not_released")
+        .when(~released_by("release", as_of, releases), "not_released")
         .when(~positive_price(), "paid_digital_evidence_missing")
         .when(gen.isNull(), "generation_missing_or_conflicting")
     )
 
 
+def _releases(docs: DataFrame) -> str | None:
+    return "releases" if "releases" in docs.columns else None
+
+
 def resolve_enrichment(docs: DataFrame, targets: DataFrame, owners: DataFrame, as_of, key=T.norm_title) -> DataFrame:
-    """matched / rejected of every target with the audit of its documents.
+    """matched / rejected of every target with the audit of its documents:
+    their number, that of exact titles, and that of every failed test.
 
-    ``docs`` carries the slug of the target it was fetched for; ``owners``
-    holds (nsuid, owner).
+    ``docs`` carries the slug of the target it was fetched for and, where a
+    document has more than one release date, the others as ``releases``;
+    ``owners`` holds (nsuid, owner).
     """
     wanted = T.with_title_key(targets.select("slug", "title"), "want", key=key).drop("title")
     # judged and reduced before the join: what is left to it is whether the title is the wanted one
     own = F.struct(one_base_nsuid("nsuids").alias("nsuid"), generation("codes", "systems").alias("gen"))
     found = T.with_title_key(docs, "__key", key=key).withColumn("p", F.explode(F.array(own)))
-    usable = enrichment_reason(as_of, F.col("p.nsuid"), F.col("p.gen")).isNull()
-    found = found.select("slug", F.col("__key").alias("title_key"), F.when(usable, F.col("p")).alias("p"))
-    found = found.groupBy("slug", "title_key", "p.nsuid", "p.gen").agg(F.count(F.lit(1)).alias("c")).join(wanted, "slug")
+    failed = enrichment_reason(as_of, F.col("p.nsuid"), F.col("p.gen"), _releases(docs))
+    found = found.select("slug", F.col("__key").alias("title_key"), "p", failed.alias("failed"))
+    # a document is usable as a product of its own, else it is one more of its failed test
+    found = found.select("slug", "title_key", "failed", F.when(F.col("failed").isNull(), F.col("p")).alias("p"))
+    found = found.groupBy("slug", "title_key", "failed", "p.nsuid", "p.gen").agg(F.count(F.lit(1)).alias("c")).join(wanted, "slug")
     exact = F.array_contains(T.edition_keys("title_key"), F.col("want")) & (F.col("want") != "")
     # products of other titles are none
-    found = found.select("slug", "c", exact.alias("exact"), *[F.when(exact, F.col(x)).alias(x) for x in ("nsuid", "gen")])
-    products = found.groupBy("slug", "nsuid", "gen").agg(F.sum("c").alias("c"), F.sum(F.when(F.col("exact"), F.col("c")).otherwise(0)).alias("c_exact"))
-    one = products.groupBy("slug").agg(
-        F.sum("c").alias("n_docs"), F.sum("c_exact").alias("n_exact"), F.count("nsuid").alias("n"), F.min("nsuid").alias("nsuid"), F.min("gen").alias("gen"))
+    why = F.when(~exact, "title_mismatch").otherwise(F.col("failed"))
+    found = found.select("slug", "c", why.alias("why"), *[F.when(exact, F.col(x)).alias(x) for x in ("nsuid", "gen")])
+    # one row per usable product and one per failed test
+    audit = found.groupBy("slug", "why", "nsuid", "gen").agg(F.sum("c").alias("c"))
+    rejected = F.collect_list(F.when(F.col("why").isNotNull(), F.struct("why", "c")))
+    one = audit.groupBy("slug").agg(
+        F.sum("c").alias("n_docs"), F.sum(F.when(F.col("why") == "title_mismatch", 0).otherwise(F.col("c"))).alias("n_exact"),
+        F.count("nsuid").alias("n"), F.min("nsuid").alias("nsuid"), F.min("gen").alias("gen"),
+        F.map_from_entries(F.array_sort(rejected)).alias("rejected"))
     owned = owners.groupBy("nsuid").agg(F.min("owner").alias("owner"))
     j = targets.select("slug").join(one, "slug", "left").join(owned, "nsuid", "left")
     exact = F.coalesce("n_exact", F.lit(0))
@@ -188,14 +207,15 @@ def resolve_enrichment(docs: DataFrame, targets: DataFrame, owners: DataFrame, a
     return j.withColumn("reason", reason).select(
         "slug", F.when(ok, "matched").otherwise("rejected").alias("status"), "reason",
         F.when(ok, F.col("nsuid")).alias("nsuid"), F.when(ok, F.col("gen")).alias("generation"),
-        F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"), exact.cast("bigint").alias("n_exact"))
+        F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"), exact.cast("bigint").alias("n_exact"),
+        F.coalesce("rejected", F.create_map().cast("map<string,bigint>")).alias("rejected"))
 
 
 def enrichment_rejects(docs: DataFrame, targets: DataFrame, as_of, key=T.norm_title) -> DataFrame:
     """Number of documents per target and failed test."""
     wanted = targets.select("slug", key("title").alias("want"))
     exact = F.array_contains(T.edition_keys(key("title")), F.col("want")) & (F.col("want") != "")
-    why = F.when(~exact, "title_mismatch").otherwise(enrichment_reason(as_of))
+    why = F.when(~exact, "title_mismatch").otherwise(enrichment_reason(as_of, releases=_releases(docs)))
     return docs.join(wanted, "slug").groupBy("slug", why.alias("reason")).agg(
         F.count(F.lit(1)).alias("n")).where(F.col("reason").isNotNull())
 

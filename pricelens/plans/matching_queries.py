@@ -160,7 +160,8 @@ SELECT slug, CASE WHEN reason IS NULL THEN 'matched' ELSE 'rejected' END AS stat
   CASE WHEN reason IS NULL THEN gen END AS generation, n_docs, n_exact FROM r
 """)
 def resolve_enrichment(spark, d):
-    return M.resolve_enrichment(docs(spark, d), targets(spark, d), owners(spark, d), B.AS_OF)
+    out = M.resolve_enrichment(docs(spark, d), targets(spark, d), owners(spark, d), B.AS_OF)
+    return out.select("slug", "status", "reason", "nsuid", "generation", "n_docs", "n_exact")
 
 
 @query("enrichment_rejects", "SELECT slug, why AS reason, count(*) AS n FROM v_judged WHERE why IS NOT NULL GROUP BY 1, 2")
