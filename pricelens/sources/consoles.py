@@ -254,7 +254,8 @@ def psn_calendar_entries(pages: DataFrame, candidates: DataFrame) -> DataFrame:
     seen = F.coalesce(F.try_to_date(label, "M/d/yyyy"), F.try_to_date(label, "MMMM d, yyyy"), F.try_to_date(label, "MMM d, yyyy"))
     visible = pages.select(F.upper("key").alias("product_id"), (label != "").alias("has_label"), seen.alias("seen"))
     want = candidates.select("product_id", calendar_title(F.coalesce("raw_title", "title")).alias("title"), F.array_join("platforms", ",").alias("want_set"), F.col("image").alias("c_image"))
-    j = per.join(want, "product_id").join(visible, "product_id")
+    # as many rows as products: joined by a merge, never sent through the driver
+    j = per.join(want.hint("merge"), "product_id").join(visible.hint("merge"), "product_id")
     good = (
         F.col("cls") & F.col("game") & ~F.col("wrong") & (F.col("n_dated") >= 2) & (F.col("n_day") == F.col("n_dated")) & (F.col("d_lo") == F.col("d_hi"))
         & (F.col("n_set") >= 2) & (F.col("s_lo") == F.col("want_set")) & (F.col("s_hi") == F.col("want_set"))

@@ -224,6 +224,18 @@ def psn_title_key(title) -> Column:
     return F.regexp_replace(T.norm_title(title), PLATFORM_TAIL, "")
 
 
+def _psn_keys(names: str) -> Column:
+    """``psn_title_key`` of every name of a list, by one Python step for all that are not ASCII."""
+    bare = F.transform(names, lambda n: F.regexp_replace(F.lower(n), "[™®©℠]", ""))
+    folded = F.split(T._folded(T.nfkc, F.array_join(bare, "\u0001")), "\u0001")
+    return F.transform(folded, lambda n: F.regexp_replace(F.regexp_replace(n, r"[^\p{L}\p{N}]+", ""), PLATFORM_TAIL, ""))
+
+
+def _own_product() -> Column:
+    """A cache's entity of the page's own product."""
+    return F.try_element_at("cache", F.concat(F.lit("Product:"), "product_id"))
+
+
 def psn_fragments(pages: DataFrame) -> DataFrame:
     """Embedded cache fragments of product pages: (product_id, final_url, doc, cache)."""
     page = F.from_json(L.script_body("body", L.NEXT_DATA), PAGE)["props"]["pageProps"]
@@ -269,14 +281,25 @@ def psn_prices(pages: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     All fragments of a page must agree on it.  Membership offers and trials are
     kept as annotations and never become the price.
     """
-    frags = psn_fragments(pages)
     want = catalog.where(F.col("psn_product_id").isNotNull() & ~F.col("title").rlike(MIXED_TITLES)).select(
         F.upper("psn_product_id").alias("product_id"), "slug", T.norm_title("title").alias("want"))
 
+    # a fragment gives its views of the product and, where it carries both the
+    # calls to action and their units, its offers: one kind of row for both, so
+    # that a page is opened once
+    frags = psn_fragments(pages).withColumn("prod", _own_product())
+    views = F.filter(F.map_values("cache"), lambda e: (e["__typename"] == "Product") & (e["id"] == F.col("product_id")))
+    offered = (F.size(F.coalesce("prod.webctas", F.array())) > 0) & (F.size(F.coalesce("prod.skus", F.array())) > 0)
+    calls = F.when(F.coalesce(offered, F.lit(False)), F.col("prod.webctas")).otherwise(F.array())
+    items = F.concat(
+        F.transform(views, lambda e: F.struct(e.alias("view"), F.lit(False).alias("call"), F.lit(None).cast("string").alias("ref"))),
+        F.transform(calls, lambda r: F.struct(F.lit(None).cast(ENTITY).alias("view"), F.lit(True).alias("call"), r["__ref"].alias("ref"))))
+    rows = frags.select(
+        "product_id", "doc", "cache", F.col("prod.concept.__ref").alias("concept"),
+        F.transform("prod.skus", lambda r: F.regexp_replace(r["__ref"], "^Sku:", "")).alias("sku_ids"), F.explode(items).alias("item"))
+
     # identity and class over every view of the product
-    entities = frags.select("product_id", F.explode(F.map_values("cache")).alias("e"))
-    views = entities.where((F.col("e.__typename") == "Product") & (F.col("e.id") == F.col("product_id")))
-    e = F.col("e")
+    e = F.col("item.view")
     standard = (e["edition"]["type"] == "STANDARD") | (e["edition"]["type"].isNull() & e["edition"]["name"].isin("", "Base Game"))
     standard = F.coalesce(standard, F.lit(False))
     conflict = (
@@ -284,26 +307,11 @@ def psn_prices(pages: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
         | F.coalesce(e["type"] != "GAME", F.lit(False)) | (e["edition"].isNotNull() & ~standard)
     )
     full = F.coalesce((e["topCategory"] == "GAME") & (e["storeDisplayClassification"] == "FULL_GAME"), F.lit(False)) & standard
-    consoles = F.filter(F.coalesce(e["platforms"], F.array()), lambda p: p.isin("PS4", "PS5"))
-    keyed = views.select(
-        "product_id", conflict.alias("conflict"), full.alias("full"), F.coalesce(e["type"] == "GAME", F.lit(False)).alias("game"),
-        consoles.alias("consoles"), F.when(F.coalesce(e["name"], F.lit("")) != "", psn_title_key(e["name"])).alias("k1"),
-        F.when(F.coalesce(e["invariantName"], F.lit("")) != "", psn_title_key(e["invariantName"])).alias("k2"), e["invariantName"].alias("inv"), e["name"].alias("nm"))
-    identity = keyed.groupBy("product_id").agg(
-        F.bool_or("conflict").alias("conflict"), F.bool_or("full").alias("full"), F.bool_or("game").alias("game"),
-        F.bool_or(F.array_contains("consoles", "PS4")).alias("ps4"), F.bool_or(F.array_contains("consoles", "PS5")).alias("ps5"),
-        F.min(F.least("k1", "k2")).alias("k_lo"), F.max(F.greatest("k1", "k2")).alias("k_hi"),
-        F.max(F.coalesce("inv", "nm")).alias("matched_title"))
-    good = (~F.col("conflict")) & F.col("full") & F.col("game") & (F.col("ps4") | F.col("ps5"))
-    identity = identity.join(want, "product_id").where(good & (F.col("want") != "") & (F.col("k_lo") == F.col("want")) & (F.col("k_hi") == F.col("want")))
-
-    # offers of fragments that carry both the calls to action and their units
-    prod = F.try_element_at("cache", F.concat(F.lit("Product:"), "product_id"))
-    own = frags.withColumn("prod", prod).where((F.size(F.coalesce("prod.webctas", F.array())) > 0) & (F.size(F.coalesce("prod.skus", F.array())) > 0))
-    cta = own.select(
-        "product_id", "doc", "cache", F.col("prod.concept.__ref").alias("concept"),
-        F.transform("prod.skus", lambda r: F.regexp_replace(r["__ref"], "^Sku:", "")).alias("sku_ids"), F.explode("prod.webctas").alias("ref"))
-    cta = cta.withColumn("c", F.try_element_at("cache", F.col("ref.__ref")))
+    consoles = F.coalesce(e["platforms"], F.array())
+    # keys of names are made per product: the Python step they may need then sees one row of it
+    names = F.filter(F.array(e["name"], e["invariantName"]), lambda n: F.coalesce(n, F.lit("")) != "")
+
+    cta = rows.withColumn("c", F.try_element_at("cache", F.col("item.ref")))
     params = F.coalesce(F.col("c.action.param"), F.array())
     sku_id = F.try_element_at(F.filter(params, lambda p: p["name"] == "skuId"), F.lit(1))["value"]
     reward = F.filter(params, lambda p: p["name"] == "rewardId")
@@ -318,22 +326,35 @@ def psn_prices(pages: DataFrame, catalog: DataFrame, as_of) -> DataFrame:
     price = F.col("c.price")
     trial = F.col("c.type").contains("TRIAL") | F.coalesce(price["isFree"], F.lit(False)) | F.coalesce(price["discountedValue"] == 0, F.lit(False))
     judged = cta.select(
-        "product_id", "doc", "concept", "sku_id", F.when(bound & cash, _observation(price, as_of, True)).alias("pub"),
+        "product_id", "doc", F.col("item.call").alias("call"), F.when(F.col("item.call"), F.col("concept")).alias("concept"), "sku_id",
+        F.when(bound & cash, _observation(price, as_of, True)).alias("pub"),
         F.when(bound, _observation(price, as_of, False)).alias("plus"),
-        F.when(bound & F.coalesce(trial, F.lit(False)), F.coalesce("c.id", F.concat_ws(":", "c.type", "sku_id"))).alias("trial"))
+        F.when(bound & F.coalesce(trial, F.lit(False)), F.coalesce("c.id", F.concat_ws(":", "c.type", "sku_id"))).alias("trial"),
+        F.when(~F.col("item.call"), F.struct(
+            conflict.alias("conflict"), full.alias("full"), F.coalesce(e["type"] == "GAME", F.lit(False)).alias("game"),
+            F.array_contains(consoles, "PS4").alias("ps4"), F.array_contains(consoles, "PS5").alias("ps5"),
+            names.alias("names"), F.coalesce(e["invariantName"], e["name"]).alias("title"))).alias("v"))
+    flags = ("conflict", "full", "game", "ps4", "ps5")
     per_doc = judged.groupBy("product_id", "doc").agg(
+        F.bool_or("call").alias("offers"),
         F.min(F.when(F.col("pub").isNotNull(), F.struct(F.col("pub.amount").alias("a"), "sku_id", "pub"))).alias("best"),
-        F.min("plus").alias("plus"), F.min("concept").alias("concept"), F.collect_set("trial").alias("trials"))
-    # a page has a handful of fragments with a handful of offers each
+        F.min("plus").alias("plus"), F.min("concept").alias("concept"), F.collect_set("trial").alias("trials"),
+        *[F.bool_or(f"v.{x}").alias(x) for x in flags], F.collect_set("v.names").alias("names"), F.max("v.title").alias("matched_title"))
+    # a page has a handful of fragments with a handful of offers and names each
     trials = F.size(F.array_distinct(F.flatten(F.collect_list("trials")))).cast("bigint").alias("excluded_trials")
     one = per_doc.groupBy("product_id").agg(
-        F.min("best").alias("lo"), F.max("best").alias("hi"), F.count_if(F.col("best").isNull()).alias("empty"),
-        F.min("plus").alias("plus"), F.min("concept").alias("c_lo"), F.max("concept").alias("c_hi"), trials)
-    one = one.where((F.col("empty") == 0) & (F.col("lo") == F.col("hi")) & F.col("c_lo").eqNullSafe(F.col("c_hi")))
+        F.min("best").alias("lo"), F.max("best").alias("hi"), F.count_if("offers").alias("docs"), F.count_if(F.col("offers") & F.col("best").isNull()).alias("empty"),
+        F.min("plus").alias("plus"), F.min("concept").alias("c_lo"), F.max("concept").alias("c_hi"), trials,
+        *[F.bool_or(x).alias(x) for x in flags], F.array_distinct(F.flatten(F.flatten(F.collect_list("names")))).alias("names"),
+        F.max("matched_title").alias("matched_title"))
+    one = one.where((F.col("docs") > 0) & (F.col("empty") == 0) & (F.col("lo") == F.col("hi")) & F.col("c_lo").eqNullSafe(F.col("c_hi")))
+    one = one.where(~F.col("conflict") & F.col("full") & F.col("game") & (F.col("ps4") | F.col("ps5")))
+    one = one.withColumn("keys", F.array_distinct(_psn_keys("names"))).where(F.size("keys") == 1).withColumn("key", F.get("keys", F.lit(0)))
     consoles = F.array_compact(F.array(F.when(F.col("ps4"), "ps4"), F.when(F.col("ps5"), "ps5")))
     concept = F.regexp_extract(F.coalesce("c_lo", F.lit("")), r"^Concept:(\d{8})$", 1)
+    # as many rows as products: joined by a merge, never sent through the driver
     return (
-        one.join(identity, "product_id")
+        one.join(want.hint("merge"), "product_id").where((F.col("want") != "") & (F.col("key") == F.col("want")))
         .select("slug", "product_id", F.lit("US").alias("cc"), F.lit("USD").alias("currency"), "lo.pub.*", F.col("lo.sku_id").alias("sku_id"),
                 F.nullif(concept, F.lit("")).alias("concept_id"), consoles.alias("platforms"), "matched_title",
                 F.col("plus.amount").alias("plus_amount"), "excluded_trials")
