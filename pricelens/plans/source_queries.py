@@ -14,7 +14,7 @@ from ..sources import feeds as FE
 from ..sources import files as FI
 from ..sources import meta as ME
 from ..sources import rankings as RA
-from ..functions.ordering import group_row_number
+from ..functions.ordering import small_group_row_number
 from ..sources import stores as ST
 from . import bindings as B
 from .registry import query
@@ -31,7 +31,7 @@ def line_pages(spark, d, cell):
     """Line items of an order cut into pages of a fixed size, so that a page
     stays small however many lines an order has."""
     li = B.table(spark, d, "lineitem").select("l_orderkey", *LINE_ORDER)
-    numbered = group_row_number(li, ["l_orderkey"], LINE_ORDER, "rn")
+    numbered = small_group_row_number(li, ["l_orderkey"], LINE_ORDER, "rn")
     page = F.floor((F.col("rn") - 1) / F.lit(PAGE_ROWS))
     x = F.struct("rn", *LINE_ORDER, cell.alias("cell"))
     return numbered.groupBy("l_orderkey", page.alias("page")).agg(F.array_sort(F.collect_list(x)).alias("xs"), F.max("l_quantity").alias("q"))

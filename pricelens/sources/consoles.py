@@ -23,7 +23,7 @@ CARD_MARKS = {
 def _marked(tag: Column) -> Column:
     out = F.lit(True)
     for name, value in CARD_MARKS.items():
-        out = out & F.coalesce(L.attribute(tag, name) == value, F.lit(False))
+        out = out & F.coalesce(L.attribute_text(tag, name) == value, F.lit(False))
     return out
 
 
@@ -42,8 +42,8 @@ def xbox_calendar_cards(pages: DataFrame, page_size: int = PAGE_SIZE) -> tuple[D
     at = lambda i: F.try_element_at("nums", F.lit(i)).try_cast("bigint")
     tags = F.filter(F.regexp_extract_all("html", F.lit(r"(?is)<div\b[^>]*>"), F.lit(0)), lambda t: t.contains(CARD_MARKS["data-bi-hn"]))
     card = lambda t: F.struct(
-        _marked(t).alias("marked"), F.upper(L.attribute(t, "data-bi-pid")).alias("big_id"), F.trim(L.attribute(t, "data-bi-prdname")).alias("title"),
-        L.attribute(t, "data-bi-carpos").try_cast("int").alias("position"))
+        _marked(t).alias("marked"), F.upper(L.attribute_text(t, "data-bi-pid")).alias("big_id"), F.trim(L.attribute_text(t, "data-bi-prdname")).alias("title"),
+        L.attribute_text(t, "data-bi-carpos").try_cast("int").alias("position"))
     p = p.withColumns({"start": at(1), "end": at(2), "total": at(3)}).select("*", L.once(F.transform(tags, card)).alias("cards"))
     sound = lambda c: c["marked"] & X.matches(c["big_id"], X.XBOX_SHAPE) & (F.coalesce(c["title"], F.lit("")) != "") & c["position"].isNotNull()
     places = F.array_sort(F.transform("cards", lambda c: c["position"]))

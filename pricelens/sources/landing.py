@@ -73,14 +73,17 @@ LD_JSON = "type=[\"']application/ld\\+json[\"']"
 def without_raw_text(html: ColumnLike) -> Column:
     """HTML without comments, scripts and styles."""
     return F.regexp_replace(
-        col(html), r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>", "")
+        col(html), r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)", "")
 
 
 def attribute(tag: ColumnLike, name: str) -> Column:
     """Value of an attribute of one opening tag, null when absent."""
-    found = F.regexp_extract(col(tag), rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", 1)
-    other = F.regexp_extract(col(tag), rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", 2)
-    return F.when(col(tag).rlike(rf"(?is)\s{name}\s*=\s*[\"']"), unescape(F.concat(found, other)))
+    return F.when(col(tag).rlike(rf"(?is)\s{name}\s*=\s*[\"']"), attribute_text(tag, name))
+
+
+def attribute_text(tag: ColumnLike, name: str) -> Column:
+    """Value of an attribute of one opening tag, empty when absent; the tag is searched once."""
+    return unescape(F.regexp_extract(col(tag), rf"(?is)\s{name}\s*=\s*([\"'])(.*?)\1", 2))
 
 
 # Entities that occur in store markup, fixed values.
